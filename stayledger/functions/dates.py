@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 
 from pyspark.sql import Column
@@ -10,9 +11,22 @@ from pyspark.sql import functions as F
 from stayledger.constants import CLEANING_DATE_FORMATS, LAST_VALID_YEAR
 
 
+_FIELD_SHAPES = {"yyyy": r"\+?\d{4,}", "MM": r"(0[1-9]|1[0-2])", "dd": r"(0[1-9]|[12]\d|3[01])"}
+
+
+def _shape(fmt: str) -> str:
+    """Pattern that every text in a layout of year, month and day fields matches."""
+    parts = [_FIELD_SHAPES.get(p, re.escape(p)) for p in re.split("(yyyy|MM|dd)", fmt)]
+    return "^" + "".join(parts) + "$"
+
+
 def parse_date(col: Column, formats: Sequence[str] = CLEANING_DATE_FORMATS) -> Column:
-    """First layout that reads the text as a calendar date; NULL when none does."""
-    return F.coalesce(*[F.try_to_date(col, fmt) for fmt in formats])
+    """First layout that reads the text as a calendar date; NULL when none does.
+
+    The date parser is slow on text it must refuse, so only text of the right shape is
+    handed to it.
+    """
+    return F.coalesce(*[F.when(col.rlike(_shape(f)), F.try_to_date(col, f)) for f in formats])
 
 
 def null_after_year(col: Column, last_year: int = LAST_VALID_YEAR) -> Column:

@@ -13,6 +13,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from stayledger.session import spread_small_scan, tune
+
 # --- Fixed values: invented country of each nation key; the last has no currency --------
 COUNTRIES = [
     "ARGENTINA", "AUSTRALIA", "AUSTRIA", "BRAZIL", "CANADA", "CHINA", "CZECH REPUBLIC",
@@ -25,6 +27,8 @@ DAILY_RATES = [
     ("EUR", 0.9), ("AUD", 1.5), ("BRL", 5.0), ("CAD", 1.35), ("CNY", 7.2), ("JPY", 150.0),
     ("GBP", 0.8),
 ]
+# From this many text columns on, making and cleaning them outweighs a small shuffle.
+WIDE = 6
 # The data ends in 2001, so the year guard of the checks stands at 2000.
 LAST_YEAR = 2000
 
@@ -121,12 +125,6 @@ BOOKING_COLUMNS: dict[str, tuple[str, str]] = {
     "longitude": ("s", "CAST(s_nationkey * 2.25e0 - 20.0e0 AS STRING)"),
 }
 
-_LINE_COLUMNS = (
-    "l_orderkey l_partkey l_suppkey l_linenumber l_quantity l_extendedprice l_discount l_tax"
-    " l_returnflag l_linestatus l_shipdate"
-).split()
-
-
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
@@ -137,7 +135,9 @@ def raw_bookings(
     """Dirty bookings as text; ``keep`` adds line-item columns (or ``k``) unchanged."""
     columns = list(BOOKING_COLUMNS) if columns is None else list(columns)
     needs = set("".join(BOOKING_COLUMNS[c][0] for c in columns))
-    df = table(spark, sf_dir, "lineitem")
+    df = table(tune(spark), sf_dir, "lineitem")
+    if len(columns) >= WIDE:
+        df = spread_small_scan(df)
     if "s" in needs:
         supplier = table(spark, sf_dir, "supplier")
         df = df.join(supplier, df["l_suppkey"] == supplier["s_suppkey"], "left")
