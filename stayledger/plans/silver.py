@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from stayledger import constants as C
-from stayledger.functions import numbers
+from stayledger.functions import dates, numbers, text
 from stayledger.operators import columns as ops
 from stayledger.operators.geo import fill_places
 from stayledger.operators.sets import union_sources
@@ -23,24 +23,35 @@ class Lookups:
 
 
 def clean_edges_and_keys(df: DataFrame) -> DataFrame:
-    """Row-wise text steps before places are filled; fit for batch and stream alike."""
-    df = ops.strip_edges(df, C.EDGE_CLEANED_COLUMNS)
-    if "hotel_id" in df.columns:
-        df = ops.require_key(df, "hotel_id")
-    return ops.fill_unknown(df, C.UNKNOWN_LABEL_COLUMNS)
+    """Row-wise text steps before places are filled; fit for batch and stream alike.
+
+    Steps on one column are composed into one expression, so a wide row is copied once.
+    """
+    clean = {c: text.strip_edges(F.col(c)) for c in ops.present(df, C.EDGE_CLEANED_COLUMNS)}
+    for c in ops.present(df, C.UNKNOWN_LABEL_COLUMNS):
+        clean[c] = text.label_blank(clean.get(c, F.col(c)))
+    if "hotel_id" in clean:
+        df = df.filter(text.has_key(clean["hotel_id"]))
+    return df.withColumns(clean) if clean else df
 
 
 def type_columns(df: DataFrame, last_year: int = C.LAST_VALID_YEAR) -> DataFrame:
     """Row-wise typing steps after places are filled; fit for batch and stream alike."""
-    df = ops.parse_dates(df, C.DATE_COLUMNS)
-    if {"booking_date", "checkin_date"} <= set(df.columns):
-        df = ops.fill_from_column(df, "booking_date", "checkin_date")
-    df = ops.null_after_year(df, C.YEAR_GUARDED_COLUMNS, last_year)
-    df = ops.map_columns(df, C.RATING_COLUMNS, numbers.normalize_rating)
-    df = ops.map_columns(df, ["total_rooms"], rooms)
-    df = ops.non_negative_money(df, C.MONEY_COLUMNS)
-    df = ops.fill_constants(df, dict.fromkeys(C.ZERO_FILLED_COLUMNS, 0.0))
-    return ops.upper_ids(df, C.UPPER_ID_COLUMNS)
+    typed = {c: dates.parse_date(F.col(c)) for c in ops.present(df, C.DATE_COLUMNS)}
+    if {"booking_date", "checkin_date"} <= typed.keys():
+        typed["booking_date"] = F.coalesce(typed["booking_date"], typed["checkin_date"])
+    for c in ops.present(df, C.YEAR_GUARDED_COLUMNS):
+        typed[c] = dates.null_after_year(typed[c], last_year)
+    for c in ops.present(df, C.RATING_COLUMNS):
+        typed[c] = numbers.normalize_rating(F.col(c))
+    for c in ops.present(df, ["total_rooms"]):
+        typed[c] = rooms(F.col(c))
+    for c in ops.present(df, C.MONEY_COLUMNS):
+        amount = numbers.null_outside(numbers.to_double(F.col(c)), low=0)
+        typed[c] = F.coalesce(amount, F.lit(0.0)) if c in C.ZERO_FILLED_COLUMNS else amount
+    for c in ops.present(df, C.UPPER_ID_COLUMNS):
+        typed[c] = F.upper(F.col(c))
+    return df.withColumns(typed) if typed else df
 
 
 def rooms(col: Column) -> Column:
