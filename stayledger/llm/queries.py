@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from stayledger.llm import decontaminate
+from stayledger.llm import decontaminate, packing, quality_rules, sharding
 from stayledger.llm.common import table
 
 
@@ -18,6 +18,23 @@ def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.digest(found)
 
 
+def op2_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents in random order in eight shards of equal row counts."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return sharding.digest(sharding.shuffle_into_shards(docs))
+
+
+def op3_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents as pieces of token ids in sequences of 2048."""
+    return packing.digest(packing.pack(table(spark, sf_dir, "documents")))
+
+
+def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Which documents the rules, weighed by estimated accuracy, keep."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return quality_rules.digest(quality_rules.judge(docs))
+
+
 SQL_OP10 = r"""
 WITH d AS (
   SELECT doc_id, list_filter(string_split_regex(translate(coalesce(text, ''),
@@ -52,6 +69,9 @@ FROM d LEFT JOIN covered c USING (doc_id) LEFT JOIN named n USING (doc_id)
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op2_shards": op2_shards,
+        "op3_pack": op3_pack,
+        "op8_quality_rules": op8_quality_rules,
         "op10_decontaminate": op10_decontaminate,
     }
 
