@@ -26,21 +26,23 @@ BLANK_RUN = r"[\x20\x09-\x0D]+"
 SYMBOLS = "#*$%&|<>"
 CAPITALS = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 
-# Name, numerator, denominator, and bounds in per cent: good up to the first, bad above the
-# second, no vote between.
+# Name, numerator, denominator, and bounds in per cent: good up to the first (None: never votes
+# good), bad above the second, no vote between.
 RULES = (
-    ("symbols", "n_symbols", "n_words", 10, 30),
-    ("capitals", "n_capitals", "word_chars", 10, 30),
-    ("shouting", "n_exclaim", "n_words", 2, 10),
-    ("tables", "n_bars", "n_words", 2, 15),
-    ("repeated_words", "n_repeat_words", "n_words", 15, 30),
-    ("repeated_lines", "n_dup_lines", "n_lines", 10, 30),
-    ("long_words", "word_chars", "n_words", 750, 1100),
+    ("symbols", "n_symbols", "n_words", None, 30),
+    ("capitals", "n_capitals", "word_chars", None, 30),
+    ("shouting", "n_exclaim", "n_words", None, 10),
+    ("tables", "n_bars", "n_words", None, 15),
+    ("repeated_words", "n_repeat_words", "n_words", None, 30),
+    ("repeated_lines", "n_dup_lines", "n_lines", None, 30),
+    ("long_words", "word_chars", "n_words", 900, 1300),
     ("open_lines", "n_open_lines", "n_lines", 35, 75),
 )
 ROUNDS = 20
-# Assumed before the first round: rules vote rightly this often, and documents are good.
-START_RIGHT, START_ABSTAIN, START_GOOD = 0.8, 0.1, 0.8
+# Assumed before the first round: how often a rule votes each way on good and on bad documents.
+# A bad vote is rare on good documents; a bad document trips some rules, not all.
+START_GOOD = 0.8
+START = {1: {1: 0.7, 0: 0.29, -1: 0.01}, 0: {1: 0.4, 0: 0.3, -1: 0.3}}
 # Votes added to each count, so that no probability becomes 0 or 1.
 SMOOTH = 1.0
 
@@ -146,20 +148,17 @@ def votes(measured: DataFrame) -> list[Column]:
     out = []
     for name, part, whole, good, bad in RULES:
         share, of = F.col(part) * 100, F.col(whole)
-        vote = F.when(of == 0, 0).when(share <= of * good, 1).when(share > of * bad, -1).otherwise(0)
-        out.append(vote.cast("int").alias(f"vote_{name}"))
+        vote = F.when(of == 0, 0).when(share > of * bad, -1)
+        vote = vote if good is None else vote.when(share <= of * good, 1)
+        out.append(vote.otherwise(0).cast("int").alias(f"vote_{name}"))
     return out
 
 
 def log_odds(patterns: list[tuple[tuple[int, ...], int]], rounds: int = ROUNDS) -> tuple[float, list[dict[int, float]]]:
     """Prior log odds of good, and each rule's log odds by vote, from counted vote patterns."""
     rules = len(patterns[0][0]) if patterns else 0
-    start = {
-        1: {1: START_RIGHT * (1 - START_ABSTAIN), 0: START_ABSTAIN, -1: (1 - START_RIGHT) * (1 - START_ABSTAIN)},
-        0: {-1: START_RIGHT * (1 - START_ABSTAIN), 0: START_ABSTAIN, 1: (1 - START_RIGHT) * (1 - START_ABSTAIN)},
-    }
     prior = math.log(START_GOOD / (1 - START_GOOD))
-    weights = [{v: math.log(start[1][v] / start[0][v]) for v in (1, 0, -1)} for _ in range(rules)]
+    weights = [{v: math.log(START[1][v] / START[0][v]) for v in (1, 0, -1)} for _ in range(rules)]
     for _ in range(rounds):
         good = bad = 0.0
         tally = [{v: [0.0, 0.0] for v in (1, 0, -1)} for _ in range(rules)]
@@ -170,14 +169,15 @@ def log_odds(patterns: list[tuple[tuple[int, ...], int]], rounds: int = ROUNDS)
                 tally[r][v][0] += n * p
                 tally[r][v][1] += n * (1 - p)
         prior = math.log((good + SMOOTH) / (bad + SMOOTH))
-        weights = [
-            {
+        weights = []
+        for t in tally:
+            odds = {
                 v: math.log((t[v][0] + SMOOTH) / (good + 3 * SMOOTH))
                 - math.log((t[v][1] + SMOOTH) / (bad + 3 * SMOOTH))
                 for v in t
             }
-            for t in tally
-        ]
+            # No rule is taken to be worse than chance.
+            weights.append({1: max(0.0, odds[1]), 0: odds[0], -1: min(0.0, odds[-1])})
     return prior, weights
 
 
@@ -205,3 +205,70 @@ def digest(judged: DataFrame) -> DataFrame:
     return judged.select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept"
     )
+
+
+def oracle() -> str:
+    """The same in DuckDB SQL: signals, votes, each round of estimation, and the verdict."""
+    names = [f"v_{r[0]}" for r in RULES]
+    votes_sql = ", ".join(
+        f"CASE WHEN {whole} = 0 THEN 0 WHEN {part} * 100 > {whole} * {bad} THEN -1 "
+        + (f"WHEN {part} * 100 <= {whole} * {good} THEN 1 " if good is not None else "")
+        + f"ELSE 0 END AS v_{name}"
+        for name, part, whole, good, bad in RULES
+    )
+    odds = lambda at, v, r: f"({at}.{r}_{'g' if v == 1 else 'b' if v == -1 else 'a'})"
+    logit = lambda at: f"{at}.prior + " + " + ".join(
+        f"CASE {n} WHEN 1 THEN {odds(at, 1, n)} WHEN 0 THEN {odds(at, 0, n)} ELSE {odds(at, -1, n)} END" for n in names
+    )
+    start = ", ".join(
+        f"ln(CAST({START[1][v]} AS DOUBLE) / {START[0][v]}) AS {n}_{c}" for n in names for v, c in ((1, "g"), (0, "a"), (-1, "b"))
+    )
+    steps = [f"q0 AS (SELECT ln(CAST({START_GOOD} AS DOUBLE) / (1 - {START_GOOD})) AS prior, {start})"]
+    for t in range(ROUNDS):
+        rate = lambda n, v, y: f"ln((coalesce(sum(CASE WHEN {n} = {v} THEN {y} END), 0) + {SMOOTH}) / (sum({y}) + {3 * SMOOTH}))"
+        parts = []
+        for n in names:
+            for v, c in ((1, "g"), (0, "a"), (-1, "b")):
+                w = f"{rate(n, v, 'y')} - {rate(n, v, 'z')}"
+                w = f"greatest(0.0, {w})" if v == 1 else f"least(0.0, {w})" if v == -1 else w
+                parts.append(f"{w} AS {n}_{c}")
+        steps.append(
+            f"e{t} AS MATERIALIZED (SELECT {', '.join(names)}, n / (1 + exp(-({logit(f'q{t}')}))) AS y, "
+            f"n - n / (1 + exp(-({logit(f'q{t}')}))) AS z FROM patterns, q{t})"
+        )
+        steps.append(
+            f"q{t + 1} AS MATERIALIZED (SELECT ln((sum(y) + {SMOOTH}) / (sum(z) + {SMOOTH})) AS prior, {', '.join(parts)} FROM e{t})"
+        )
+    blank, escaped = "[\\x20\\x09-\\x0D]", "[^\\x20\\x09-\\x0D]"
+    count = lambda chars: f"length(body) - length(translate(body, '{chars}', ''))"
+    return f"""
+WITH base AS (
+  SELECT doc_id, coalesce(text, '') AS body,
+         list_filter(string_split_regex(coalesce(text, ''), '{blank}+'), lambda x: x <> '') AS w,
+         list_filter(string_split(coalesce(text, ''), chr(10)), lambda x: regexp_matches(x, '{escaped}')) AS l
+  FROM documents),
+grams AS (
+  SELECT doc_id, i, list_slice(w, i, i + 2) AS g FROM (SELECT doc_id, w, unnest(range(1, len(w) - 1)) AS i FROM base)),
+twice AS (SELECT doc_id, i FROM (SELECT doc_id, i, count(*) OVER (PARTITION BY doc_id, g) AS c FROM grams) WHERE c > 1),
+again AS (SELECT doc_id, count(DISTINCT p) AS n FROM (SELECT doc_id, unnest([i, i + 1, i + 2]) AS p FROM twice) GROUP BY doc_id),
+s AS (
+  SELECT b.doc_id, CAST(len(w) AS BIGINT) AS n_words,
+         CAST(length(regexp_replace(body, '{blank}', '', 'g')) AS BIGINT) AS word_chars,
+         CAST({count(SYMBOLS)} AS BIGINT) AS n_symbols,
+         CAST({count(CAPITALS)} AS BIGINT) AS n_capitals,
+         CAST({count("!")} AS BIGINT) AS n_exclaim,
+         CAST({count("|")} AS BIGINT) AS n_bars,
+         CAST(len(l) AS BIGINT) AS n_lines,
+         CAST(len(l) - len(list_distinct(l)) AS BIGINT) AS n_dup_lines,
+         CAST(len(list_filter(l, lambda x: NOT regexp_matches(rtrim(x, ' '), '[.!?]$'))) AS BIGINT) AS n_open_lines,
+         coalesce(a.n, 0) AS n_repeat_words
+  FROM base b LEFT JOIN again a USING (doc_id)),
+voted AS (SELECT *, {votes_sql} FROM s),
+patterns AS MATERIALIZED (SELECT {', '.join(names)}, CAST(count(*) AS DOUBLE) AS n FROM voted GROUP BY ALL),
+{(","+chr(10)).join(steps)}
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
+       n_words < {BASE_WORDS} OR 100 * n_repeat_words > {BASE_REPEAT_PERCENT} * n_words AS base_failed,
+       NOT (n_words < {BASE_WORDS} OR 100 * n_repeat_words > {BASE_REPEAT_PERCENT} * n_words)
+         AND 1 / (1 + exp(-({logit(f"q{ROUNDS}")}))) >= 0.5 AS kept
+FROM voted, q{ROUNDS}
+"""

@@ -78,5 +78,6 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 def oracle_sql() -> dict[str, str]:
     return {
+        "op8_quality_rules": quality_rules.oracle(),
         "op10_decontaminate": SQL_OP10,
     }
