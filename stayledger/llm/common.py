@@ -77,3 +77,17 @@ def append(batch: pa.RecordBatch, columns: list[pa.Array], names: list[str]) ->
 def whole_rows(docs: DataFrame, *needed: str) -> DataFrame:
     """Needed columns and the whole row as one struct ``_row``, which no result can clash with."""
     return docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row"), *needed)
+
+
+def labelled_sample(labels: DataFrame, label: str, rows: int, seed: int) -> tuple[DataFrame, dict[int, int]]:
+    """At most ``rows`` labelled ids of each of the labels 0 and 1, the first by a seeded hash.
+
+    Also the number of all rows by label. Missing ids and other labels are left out.
+    """
+    marked = labels.select("doc_id", F.col(label).cast("int").alias("y")).where(
+        "y in (0, 1) and doc_id is not null"
+    )
+    counts = {r["y"]: r["count"] for r in marked.groupBy("y").count().collect()}
+    draw = F.xxhash64(F.lit(seed), "doc_id")
+    parts = [marked.where(F.col("y") == y).orderBy(draw, "doc_id").limit(rows) for y in (0, 1)]
+    return parts[0].unionByName(parts[1]), counts
