@@ -181,12 +181,14 @@ def log_odds(patterns: list[tuple[tuple[int, ...], int]], rounds: int = ROUNDS)
     return prior, weights
 
 
-def judge(docs: DataFrame, text: str = "text") -> DataFrame:
-    """Documents with signals, votes, ``posterior``, ``base_failed`` and ``kept``."""
+def judge(measured: DataFrame) -> DataFrame:
+    """Measured documents with votes, ``posterior``, ``base_failed`` and ``kept``.
+
+    The signals are read twice, to estimate and to judge, so they should be stored.
+    """
     names = [f"vote_{r[0]}" for r in RULES]
-    docs = docs.select(*[f"`{c}`" for c in common.carried(docs, [*names, "posterior", "base_failed", "kept"])])
-    measured = signals(docs, text)
-    voted = measured.select("*", *votes(measured))
+    keep = common.carried(measured, [*names, "posterior", "base_failed", "kept"])
+    voted = measured.select(*[f"`{c}`" for c in keep], *votes(measured))
     counted = voted.groupBy(*names).count().collect()
     patterns = sorted((tuple(r[:-1]), r[-1]) for r in counted)
     prior, weights = log_odds(patterns)

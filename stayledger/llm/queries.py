@@ -6,8 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from stayledger.llm import decontaminate, packing, quality_rules, sharding
-from stayledger.llm.common import table
+from stayledger.llm import decontaminate, packing, quality_rules, ranking, sharding, toxicity
+from stayledger.llm.common import remainder, table
+from stayledger.storage import stage_table
 
 
 def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -18,6 +19,15 @@ def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.digest(found)
 
 
+def op1_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality scores of all documents from labels of the training part."""
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    docs = docs.select("doc_id", "text")
+    model = ranking.train(docs, labels.where(remainder(3) != 1))
+    scored = ranking.score(docs, model).withColumn("held_out", remainder(3) == 1)
+    return scored.select("doc_id", "held_out", "score", "predicted")
+
+
 def op2_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents in random order in eight shards of equal row counts."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -29,10 +39,20 @@ def op3_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.digest(packing.pack(table(spark, sf_dir, "documents")))
 
 
+def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity scores of all documents from labels of the training part."""
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    docs = docs.select("doc_id", "text")
+    model = toxicity.train(docs, labels.where(remainder(5) != 0))
+    scored = toxicity.score(docs, model).withColumn("held_out", remainder(5) == 0)
+    return scored.select("doc_id", "held_out", "score", "predicted")
+
+
 def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Which documents the rules, weighed by estimated accuracy, keep."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    return quality_rules.digest(quality_rules.judge(docs))
+    measured = stage_table(quality_rules.signals(docs).drop("text"), "quality-signals")
+    return quality_rules.digest(quality_rules.judge(measured))
 
 
 SQL_OP10 = r"""
@@ -69,8 +89,10 @@ FROM d LEFT JOIN covered c USING (doc_id) LEFT JOIN named n USING (doc_id)
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op1_quality": op1_quality,
         "op2_shards": op2_shards,
         "op3_pack": op3_pack,
+        "op6_toxicity": op6_toxicity,
         "op8_quality_rules": op8_quality_rules,
         "op10_decontaminate": op10_decontaminate,
     }

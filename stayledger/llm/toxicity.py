@@ -1,15 +1,20 @@
 """Toxicity by a support vector machine on a gap-weighted subsequence kernel.
 
-The kernel of two strings sums over common subsequences of three letters, each weighed by a
-power of the stretches it takes in both, so that inserted or left-out characters lower the
-likeness but do not end it. Texts are sentences; a sentence is compared with a landmark by
-its best matching unit, where a unit is a word's letters, or a run of very short words
-together (letters spelled apart). Landmarks are the units most typical of toxic training
-documents and some of all others. The Nyström map turns kernel values with the landmarks
-into features for a linear machine, trained with the hinge loss on labelled sentences:
-sentences of clean documents are clean, and of a toxic document the one sentence that looks
-worst is toxic (chosen anew each round). A document's margin is its worst sentence's;
-a logistic curve fitted on training documents gives the score.
+The kernel of two strings sums over common subsequences of three letters that span at most
+``SPAN`` places, each weighed by a power of the places it takes in both, so that inserted or
+left-out characters lower the likeness but do not end it. Its features can be listed, about
+ten for each place, so kernel values come from table look-ups. Values are normalised and
+raised to ``POWER``, which leaves a kernel a kernel and sets close likeness off from chance;
+values below ``FLOOR`` count as none.
+
+Texts are sentences; a sentence is compared with a landmark by its best matching unit,
+where a unit is a word's letters, or a run of very short words together (letters spelled
+apart). Landmarks are the units most typical of toxic training documents and some of all
+others. The Nyström map turns kernel values with the landmarks into features for a linear
+machine, trained with the hinge loss on labelled sentences: sentences of clean documents
+are clean, and of a toxic document the one sentence that looks worst is toxic (chosen anew
+each round). A document's margin is its worst sentence's; a logistic curve fitted on
+training documents gives the score.
 
 Fitting uses at most ``sample_rows`` labelled rows of each label, by a hash of the id; the
 landmarks' frequencies are counted on these. Scoring reads every row once, without a shuffle.
@@ -33,36 +38,26 @@ from pyspark.sql import functions as F
 
 from stayledger.llm import common
 
-SUBSEQUENCE = 3
+SPAN = 6
 DECAY = 0.6
-SAMPLE_ROWS = 2500
-TOXIC_LANDMARKS = 20
-OTHER_LANDMARKS = 8
+POWER = 3
+FLOOR = 1e-3
+SAMPLE_ROWS = 3000
+TOXIC_LANDMARKS = 64
+OTHER_LANDMARKS = 32
 # Of a sampled document so many sentences are kept for training, the most landmark-like.
 KEPT_SENTENCES = 6
+FOLDS = 4
 MIN_UNIT, LONGEST_UNIT = 3, 24
-# A worker forgets units it has seen beyond so many.
-REMEMBERED = 400_000
+# A worker forgets words it has seen beyond so many.
+REMEMBERED = 600_000
 
-_SENTENCE = re.compile(r"[.!?]+(?=\s|$)|\n")
 _NOT_LETTER = re.compile(r"[\W\d_]+")
 
 
-def units(sentence: str) -> list[str]:
-    """Letters of each word; words of at most two letters in a row are joined."""
-    out, run = [], ""
-    for word in sentence.lower().split():
-        letters = word if word.isalpha() else _NOT_LETTER.sub("", word)
-        if len(letters) <= 2:
-            run += letters
-            continue
-        if len(run) >= MIN_UNIT:
-            out.append(run)
-        run = ""
-        out.append(letters)
-    if len(run) >= MIN_UNIT:
-        out.append(run)
-    return out
+def letters(word: str) -> str:
+    word = word.lower()
+    return word if word.isalpha() else _NOT_LETTER.sub("", word)
 
 
 def windows(unit: str) -> list[str]:
@@ -73,102 +68,192 @@ def windows(unit: str) -> list[str]:
     return [unit[i : i + LONGEST_UNIT] for i in range(0, len(unit) - half, half)]
 
 
-def _codes(strings: list[str]) -> tuple[np.ndarray, np.ndarray]:
-    """Code points, one row per position, 0 past the end; and lengths."""
-    lengths = np.array([len(s) for s in strings])
-    table = np.zeros((max(lengths, default=0), len(strings)), np.uint32)
-    flat = np.frombuffer("".join(strings).encode("utf-32-le"), "<u4")
-    at = np.repeat(np.arange(len(strings)), lengths)
-    position = np.arange(len(flat)) - np.repeat(np.cumsum(lengths) - lengths, lengths)
-    table[position, at] = flat
-    return table, lengths
+# Steps from the first letter of a subsequence to its second and third.
+_STEPS = [(i, j) for j in range(2, SPAN) for i in range(1, j)]
 
 
-def raw_kernel(strings: list[str], other: str | None) -> np.ndarray:
-    """Kernel of each string with ``other``, or with itself, by the usual recurrence.
+def subsequences(strings: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(string, three letters as a number, weight) of all subsequences in reach.
 
-    ``strings`` come in order of falling length, so that steps past a string's end are left out.
+    Letters fall into 64 classes: a to z alone, all others by their code point.
     """
-    s, lengths = _codes(strings)
-    n = len(strings)
-    if other is None:
-        t, width = s, s.shape[0]
-    else:
-        t, width = np.frombuffer(other.encode("utf-32-le"), "<u4")[:, None], len(other)
-    lam, square = np.float32(DECAY), np.float32(DECAY * DECAY)
-    # prefix[i][j]: weight of subsequences of length i that end anywhere before, up to t[:j].
-    prefix = [np.ones((width + 1, n), np.float32)]
-    prefix += [np.zeros((width + 1, n), np.float32) for _ in range(SUBSEQUENCE - 1)]
-    total = np.zeros(n, np.float32)
-    alive = np.searchsorted(-lengths, -np.arange(s.shape[0]), side="left")
-    for x in range(s.shape[0]):
-        k = int(alive[x])
-        hit = (t[:, :k] == s[x, :k]) & (t[:, :k] != 0)
-        match = hit.astype(np.float32) * square
-        total[:k] += (match * prefix[SUBSEQUENCE - 1][:-1, :k]).sum(0)
-        for i in range(SUBSEQUENCE - 1, 0, -1):
-            add = match * prefix[i - 1][:-1, :k]
-            run = np.zeros(k, np.float32)
-            rows = prefix[i]
-            for j in range(width):
-                run = run * lam + add[j]
-                rows[j + 1, :k] = rows[j + 1, :k] * lam + run
-    return total
-
-
-def likeness(strings: list[str], landmarks: list[str], own: np.ndarray) -> np.ndarray:
-    """Normalised kernel of strings with landmarks, between 0 and 1; ``own``: of the landmarks."""
-    order = sorted(range(len(strings)), key=lambda i: -len(strings[i]))
-    sorted_ = [strings[i] for i in order]
-    out = np.zeros((len(strings), len(landmarks)), np.float32)
-    if sorted_:
-        self_ = raw_kernel(sorted_, None)
-        for m, landmark in enumerate(landmarks):
-            scale = np.sqrt(np.maximum(self_ * own[m], 1e-12))
-            out[order, m] = raw_kernel(sorted_, landmark) / scale
-    return out
+    flat = np.frombuffer("".join(strings).encode("utf-32-le"), "<u4").astype(np.int64)
+    letter = np.where((flat >= 97) & (flat <= 122), flat - 96, 27 + flat % 37)
+    sizes = np.array([len(x) for x in strings], np.int64)
+    owner = np.repeat(np.arange(len(strings)), sizes)
+    ends = np.repeat(np.cumsum(sizes), sizes)
+    at, owners, codes, weights = np.arange(len(flat)), [], [], []
+    for second, third in _STEPS:
+        i = at[at + third < ends]
+        owners.append(owner[i])
+        codes.append(letter[i] << 12 | letter[i + second] << 6 | letter[i + third])
+        weights.append(np.full(len(i), DECAY ** (third + 1)))
+    return np.concatenate(owners), np.concatenate(codes), np.concatenate(weights)
+
+
+def summed(key: np.ndarray, weight: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct keys in order, with the sum of their weights."""
+    order = np.argsort(key, kind="stable")
+    key, weight = key[order], weight[order]
+    first = np.flatnonzero(np.r_[True, key[1:] != key[:-1]]) if len(key) else np.zeros(0, np.int64)
+    return key[first], np.add.reduceat(weight, first) if len(key) else weight
+
+
+class Kernel:
+    """Normalised kernel values with fixed landmarks."""
+
+    def __init__(self, landmarks: list[str]):
+        owner, code, weight = subsequences(landmarks)
+        key, total = summed(owner << 18 | code, weight)
+        owner, code = key >> 18, key & ((1 << 18) - 1)
+        norm = np.sqrt(np.bincount(owner, total * total, len(landmarks)))
+        order = np.lexsort((owner, code))
+        owner, code, total = owner[order], code[order], total[order]
+        # Landmarks of each subsequence, and their shares: entries first[code] to first[code + 1].
+        self.first = np.searchsorted(code, np.arange((1 << 18) + 1))
+        self.owner, self.share = owner, total / np.maximum(norm[owner], 1e-9)
+        self.size = len(landmarks)
+
+    def values(self, strings: list[str]) -> np.ndarray:
+        owner, code, weight = subsequences(strings)
+        met = np.zeros(len(strings), bool)
+        met[owner[self.first[code + 1] > self.first[code]]] = True
+        # All subsequences of strings that share one with a landmark: for their norms.
+        near = met[owner]
+        key, total = summed(owner[near] << 18 | code[near], weight[near])
+        owner, code = key >> 18, key & ((1 << 18) - 1)
+        norm = np.sqrt(np.bincount(owner, total * total, len(strings)))
+        many = self.first[code + 1] - self.first[code]
+        each = np.repeat(np.arange(len(code)), many)
+        entry = np.arange(len(each)) - np.repeat(np.cumsum(many) - many - self.first[code], many)
+        cell = owner[each] * self.size + self.owner[entry]
+        out = np.bincount(cell, total[each] * self.share[entry], len(strings) * self.size)
+        out = out.reshape(len(strings), self.size) / np.maximum(norm[:, None], 1e-9)
+        out = np.minimum(out, 1) ** POWER
+        return np.where(out < FLOOR, 0, out).astype(np.float32)
 
 
 class Eye:
-    """Kernel values of sentences with the landmarks, remembering units already seen."""
+    """Kernel values of sentences with the landmarks, remembering words already seen.
 
-    def __init__(self, landmarks: list[str]):
-        self.landmarks = landmarks
-        self.own = np.array([raw_kernel([t], None)[0] for t in landmarks])
-        self.known: dict[str, int] = {}
-        self.rows = np.zeros((1, len(landmarks)), np.float32)
-
-    def _learn(self, new: list[str]) -> None:
-        parts = [w for u in new for w in windows(u)]
-        sizes = np.array([len(windows(u)) for u in new])
-        blocks = [
-            likeness(parts[a : a + 4096], self.landmarks, self.own) for a in range(0, len(parts), 4096)
-        ]
-        values = np.maximum.reduceat(np.concatenate(blocks), np.cumsum(sizes) - sizes, axis=0)
-        first = len(self.rows)
-        self.rows = np.concatenate([self.rows, values])
-        self.known.update({u: first + i for i, u in enumerate(new)})
+    A sentence ends at a word that ends in a full stop, exclamation or question mark, and at
+    the end of a line.
+    """
 
-    def look(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        """Best kernel values of every sentence, and the text it is from."""
-        if len(self.known) > REMEMBERED:
-            self.known, self.rows = {}, self.rows[:1]
-        sentences, owner = [], []
+    def __init__(self, landmarks: list[str] | None):
+        # Without landmarks it only counts units: every unit then has a row of its own.
+        self.landmarks = landmarks
+        self.kernel = Kernel(landmarks) if landmarks is not None else None
+        self._forget()
+
+    def _forget(self) -> None:
+        self.words: dict[str, int] = {}
+        self.short: list[str] = []
+        self.runs: dict[str, int] = {}
+        self.names: list[str] = [""]
+        self.row = np.zeros(0, np.int32)
+        self.is_short = np.zeros(0, bool)
+        self.is_end = np.zeros(0, bool)
+        self.rows = np.zeros((1, len(self.landmarks or [])), np.float32)
+
+    def _rows_of(self, new: list[str]) -> np.ndarray:
+        """Row numbers of new units; units unlike all landmarks share the empty row 0."""
+        if self.kernel is None:
+            self.names += new
+            return np.arange(len(self.names) - len(new), len(self.names))
+        if not new:
+            return np.zeros(0, np.int32)
+        split = [windows(u) for u in new]
+        sizes = np.array([len(x) for x in split])
+        parts = [w for x in split for w in x]
+        values = np.concatenate(
+            [self.kernel.values(parts[a : a + 4096]) for a in range(0, len(parts), 4096)]
+        )
+        if len(parts) > len(new):
+            values = np.maximum.reduceat(values, np.cumsum(sizes) - sizes, axis=0)
+        some = values.any(1)
+        rows = np.where(some, len(self.rows) - 1 + np.cumsum(some), 0)
+        self.rows = np.concatenate([self.rows, values[some]])
+        return rows
+
+    def _learn_words(self, new: list[str]) -> None:
+        bare = [letters(w) for w in new]
+        short = np.array([len(u) < MIN_UNIT for u in bare], bool)
+        rows = np.zeros(len(new), np.int32)
+        rows[~short] = self._rows_of([u for u in bare if len(u) >= MIN_UNIT])
+        first = len(self.row)
+        self.words.update(zip(new, range(first, first + len(new))))
+        self.short += [u if len(u) < MIN_UNIT else "" for u in bare]
+        self.row = np.concatenate([self.row, rows])
+        self.is_short = np.concatenate([self.is_short, short])
+        self.is_end = np.concatenate([self.is_end, np.array([w[-1] in ".!?" for w in new], bool)])
+
+    def met(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Rows other than 0 that occur, the sentence of each in order, and sentences' texts."""
+        if len(self.words) + len(self.runs) > REMEMBERED:
+            self._forget()
+        words: list[str] = []
+        breaks, owner = [], []
         for i, text in enumerate(texts):
-            for sentence in _SENTENCE.split(text):
-                found = units(sentence)
+            for line in text.split("\n"):
+                found = line.split()
                 if found:
-                    sentences.append(found)
-                    owner.append(i)
-        fresh = list(dict.fromkeys(u for s in sentences for u in s if u not in self.known))
+                    words += found
+                    breaks.append(len(words) - 1)
+                    owner += [i] * len(found)
+        n = len(words)
+        if not n:
+            return np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.int64)
+        fresh = [w for w in dict.fromkeys(words) if w not in self.words]
         if fresh:
-            self._learn(fresh)
-        if not sentences:
-            return np.zeros((0, len(self.landmarks)), np.float32), np.zeros(0, np.int64)
-        sizes = np.array([len(s) for s in sentences])
-        ids = np.array([self.known[u] for s in sentences for u in s])
-        values = np.maximum.reduceat(self.rows[ids], np.cumsum(sizes) - sizes, axis=0)
-        return values, np.array(owner)
+            self._learn_words(fresh)
+        ids = np.fromiter(map(self.words.__getitem__, words), np.int64, n)
+        end = self.is_end[ids]
+        end[breaks] = True
+        sentence = np.cumsum(end) - end
+        text_of = np.zeros(sentence[-1] + 1, np.int64)
+        text_of[sentence] = owner
+        # Runs of at least two short words within a sentence.
+        short = self.is_short[ids]
+        key = np.where(short, sentence, -1)
+        start = np.r_[True, key[1:] != key[:-1]] & short
+        last = np.r_[key[1:] != key[:-1], True] & short
+        a, z = np.flatnonzero(start), np.flatnonzero(last)
+        far = z > a
+        where, joined = [], []
+        for i, j in zip(a[far].tolist(), z[far].tolist()):
+            run = "".join([self.short[k] for k in ids[i : j + 1].tolist()])
+            if len(run) >= MIN_UNIT:
+                where.append(sentence[i])
+                joined.append(run)
+        new = [r for r in dict.fromkeys(joined) if r not in self.runs]
+        self.runs.update(zip(new, self._rows_of(new).tolist()))
+        rows = self.row[ids]
+        some = rows > 0
+        row = np.concatenate([rows[some], np.array([self.runs[r] for r in joined], np.int64)])
+        at = np.concatenate([sentence[some], np.array(where, np.int64)])
+        keep = row > 0
+        row, at = row[keep], at[keep]
+        order = np.argsort(at, kind="stable")
+        return row[order], at[order], text_of
+
+    def look(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Best kernel values of the sentences that have some, and the text each is from."""
+        row, at, text_of = self.met(texts)
+        if not len(row):
+            return np.zeros((0, self.rows.shape[1]), np.float32), np.zeros(0, np.int64)
+        first = np.flatnonzero(np.r_[True, at[1:] != at[:-1]])
+        many = np.diff(np.r_[first, len(row)])
+        best = self.rows[row[first]]
+        # The second rows of all sentences that have one, then the third, and so on.
+        for k in range(1, int(many.max())):
+            live = np.flatnonzero(many > k)
+            if len(live) < 16:
+                for i in live.tolist():
+                    best[i] = self.rows[row[first[i] : first[i] + many[i]]].max(0)
+                break
+            best[live] = np.maximum(best[live], self.rows[row[first[live] + k]])
+        return best, text_of[at[first]]
 
 
 @dataclass
@@ -191,14 +276,14 @@ def choose_landmarks(docs: DataFrame, counts: dict[int, int]) -> list[str]:
     """Units whose share of documents differs most, and others spread over the frequent ones."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            ys, out = [], []
-            for y, text in zip(batch.column("y").to_pylist(), common.texts(batch)):
-                # All sentences apart, so that a joined run stays inside one.
-                found = {u for s in _SENTENCE.split(text) for u in units(s) if len(u) <= LONGEST_UNIT}
-                out.extend(found)
-                ys.extend([y] * len(found))
-            yield pa.RecordBatch.from_arrays([pa.array(out, pa.string()), pa.array(ys, pa.int32())], ["unit", "y"])
+        for whole in batches:
+            for batch in common.chunks(whole, "text"):
+                eye = Eye(None)
+                row, at, text_of = eye.met(common.texts(batch))
+                pairs = np.unique(text_of[at] << 32 | row)
+                found = [eye.names[r] for r in (pairs & 0xFFFFFFFF).tolist()]
+                ys = batch.column("y").take(pa.array(pairs >> 32))
+                yield pa.RecordBatch.from_arrays([pa.array(found, pa.string()), ys], ["unit", "y"])
 
     seen = docs.select("y", "text").mapInArrow(run, "unit string, y int")
     by_unit = seen.groupBy("unit").agg(
@@ -208,15 +293,15 @@ def choose_landmarks(docs: DataFrame, counts: dict[int, int]) -> list[str]:
     bad, good = F.col("bad") / counts[1], F.col("good") / counts[0]
     # Standardised difference of the two shares.
     spread = F.sqrt(bad * (1 - bad) / counts[1] + good * (1 - good) / counts[0] + F.lit(1e-6))
-    ranked = by_unit.select("unit", ((bad - good) / spread).alias("z"), (F.col("bad") + F.col("good")).alias("n"))
-    worst = ranked.where("n >= 2").orderBy(F.desc("z"), "unit").limit(TOXIC_LANDMARKS).collect()
+    ranked = by_unit.where(F.length("unit") <= LONGEST_UNIT).select("unit", ((bad - good) / spread).alias("z"), (F.col("bad") + F.col("good")).alias("n"))
+    worst = ranked.where("n >= 4").orderBy(F.desc("z"), "unit").limit(TOXIC_LANDMARKS).collect()
     chosen = [r["unit"] for r in worst if r["z"] > 0]
     others = ranked.where("n >= 5 and z <= 0 and length(unit) between 4 and 10").orderBy(F.xxhash64(F.lit(3), "unit"), "unit").limit(OTHER_LANDMARKS).collect()
     return chosen + [r["unit"] for r in others]
 
 
 def nystroem(eye: Eye) -> np.ndarray:
-    gram = likeness(eye.landmarks, eye.landmarks, eye.own).astype(float)
+    gram = eye.kernel.values(eye.landmarks).astype(float)
     values, vectors = np.linalg.eigh((gram + gram.T) / 2)
     keep = values > 1e-3
     return vectors[:, keep] / np.sqrt(values[keep])
@@ -261,7 +346,7 @@ def train(docs: DataFrame, labels: DataFrame, label: str = "toxic", sample_rows:
     landmarks = choose_landmarks(known, used)
     if not landmarks:
         return counts[1] / total
-    toxic = sum(1 for _ in landmarks[:TOXIC_LANDMARKS])
+    toxic = min(len(landmarks), TOXIC_LANDMARKS)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         eye = Eye(landmarks)
@@ -289,24 +374,41 @@ def train(docs: DataFrame, labels: DataFrame, label: str = "toxic", sample_rows:
         return counts[1] / total
     x, y = np.array([r["v"] for r in got], float), np.array([r["y"] for r in got])
     _, doc = np.unique(np.array([r["doc_id"] for r in got]), return_inverse=True)
-    eye = Eye(landmarks)
-    project = nystroem(eye)
-    z = x @ project
-    margin = x[:, :toxic].max(1)
-    share = {0: counts[0] / total, 1: counts[1] / total}
+    project = nystroem(Eye(landmarks))
+    z, start = x @ project, x[:, :toxic].max(1)
+    # The curve is fitted on margins from machines that have not seen the document.
+    held = np.full(len(y), np.nan)
+    for fold in range(FOLDS):
+        out = doc % FOLDS == fold
+        if len(set(y[~out].tolist())) == 2 and out.any():
+            w, b = machine(z[~out], y[~out], doc[~out], start[~out])
+            held[out] = z[out] @ w + b
+    w, b = machine(z, y, doc, start)
+    held = np.where(np.isnan(held), z @ w + b, held)
+    top = worst_of(held, doc)
+    # Rows count so that labels have their natural shares again.
+    each = [counts[k] / total / max(1, (top & (y == k)).sum()) for k in (0, 1)]
+    slope, shift = curve(held[top], y[top].astype(float), np.where(y[top] == 1, each[1], each[0]) * top.sum())
+    return Machine(landmarks, project, w, b, slope, shift)
+
+
+def worst_of(margin: np.ndarray, doc: np.ndarray) -> np.ndarray:
+    """True for the one sentence of each document with the greatest margin."""
+    order = np.lexsort((-margin, doc))
+    out = np.zeros(len(doc), bool)
+    out[order[np.r_[True, np.diff(doc[order]) != 0]]] = True
+    return out
+
+
+def machine(z: np.ndarray, y: np.ndarray, doc: np.ndarray, margin: np.ndarray) -> tuple[np.ndarray, float]:
+    """Weights and bias; of a toxic document the sentence that looks worst counts, of a clean one all."""
     for _ in range(4):
-        # Of a toxic document the sentence that looks worst; of a clean one all.
-        worst = np.zeros(len(y), bool)
-        order = np.lexsort((-margin, doc))
-        worst[order[np.r_[True, np.diff(doc[order]) != 0]]] = True
+        worst = worst_of(margin, doc)
         use = (y == 0) | worst
-        cost = np.where(y == 1, 1.0 / max(1, (use & (y == 1)).sum()), 1.0 / (y == 0).sum())
+        cost = np.where(y == 1, 1.0 / max(1, (use & (y == 1)).sum()), 1.0 / max(1, (y == 0).sum()))
         w, b = hinge(z[use], np.where(y[use] == 1, 1.0, -1.0), cost[use])
         margin = z @ w + b
-    # Rows count so that labels have their natural shares again.
-    weight = np.where(y == 1, share[1] / max(1, (worst & (y == 1)).sum()), share[0] / max(1, (worst & (y == 0)).sum()))
-    slope, shift = curve(margin[worst], y[worst].astype(float), weight[worst] * worst.sum())
-    return Machine(landmarks, project, w, b, slope, shift)
+    return w, b
 
 
 def score(docs: DataFrame, model: Machine | float, text: str = "text") -> DataFrame:
@@ -323,10 +425,9 @@ def score(docs: DataFrame, model: Machine | float, text: str = "text") -> DataFr
                     margin, s = np.zeros(n), np.full(n, model)
                 else:
                     values, owner = eye.look(common.texts(batch, text))
+                    # A sentence unlike all landmarks has the bias as its margin.
                     margin = np.full(n, float(model.bias))
-                    found = np.full(n, -np.inf)
-                    np.maximum.at(found, owner, model.margins(values))
-                    margin = np.where(np.isfinite(found), found, margin)
+                    np.maximum.at(margin, owner, model.margins(values))
                     s = model.scores(margin)
                 new = [pa.array(margin), pa.array(s), pa.array((s >= 0.5).astype(np.int32))]
                 yield common.append(batch, new, ["margin", "score", "predicted"])
