@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from stayledger.llm import decontaminate, packing, quality_rules, ranking, sharding, toxicity
+from stayledger.llm import decontaminate, lm_scoring, near_dup, packing, quality_rules, ranking, sharding, toxicity
 from stayledger.llm.common import remainder, table
 from stayledger.storage import stage_table
 
@@ -39,6 +39,20 @@ def op3_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.digest(packing.pack(table(spark, sf_dir, "documents")))
 
 
+def op4_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Groups of documents that share three quarters of their five-word shingles."""
+    return near_dup.near_duplicates(table(spark, sf_dir, "documents"))
+
+
+def op5_lm_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Log probabilities of all documents under models of the training part."""
+    docs = table(spark, sf_dir, "documents")
+    scored = lm_scoring.score(docs, training=remainder(7) != 2)
+    return scored.withColumn("held_out", remainder(7) == 2).select(
+        "doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score", "n_bytes", "bits_per_byte"
+    )
+
+
 def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Toxicity scores of all documents from labels of the training part."""
     docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
@@ -92,6 +106,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op1_quality": op1_quality,
         "op2_shards": op2_shards,
         "op3_pack": op3_pack,
+        "op4_near_duplicates": op4_near_duplicates,
+        "op5_lm_scores": op5_lm_scores,
         "op6_toxicity": op6_toxicity,
         "op8_quality_rules": op8_quality_rules,
         "op10_decontaminate": op10_decontaminate,
