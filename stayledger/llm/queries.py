@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from stayledger.llm import decontaminate, lm_scoring, near_dup, packing, quality_rules, ranking, sharding, toxicity
+from stayledger.llm import decontaminate, language, lm_scoring, near_dup, packing, quality_rules, ranking, secrets, sharding, toxicity
 from stayledger.llm.common import remainder, table
 from stayledger.storage import stage_table
 
@@ -62,6 +63,13 @@ def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", "held_out", "score", "predicted")
 
 
+def op7_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language of every page."""
+    pages, docs = table(spark, sf_dir, "pages"), table(spark, sf_dir, "documents")
+    found = language.identify(pages, docs)
+    return found.withColumn("probability", F.round("probability", 6))
+
+
 def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Which documents the rules, weighed by estimated accuracy, keep."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -69,6 +77,12 @@ def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.digest(quality_rules.judge(measured))
 
 
+def op9_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Confirmed secrets of every document."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return secrets.digest(secrets.find_secrets(docs))
+
+
 SQL_OP10 = r"""
 WITH d AS (
   SELECT doc_id, list_filter(string_split_regex(translate(coalesce(text, ''),
@@ -109,7 +123,9 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op4_near_duplicates": op4_near_duplicates,
         "op5_lm_scores": op5_lm_scores,
         "op6_toxicity": op6_toxicity,
+        "op7_language": op7_language,
         "op8_quality_rules": op8_quality_rules,
+        "op9_secrets": op9_secrets,
         "op10_decontaminate": op10_decontaminate,
     }
 
