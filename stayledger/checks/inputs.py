@@ -14,7 +14,7 @@ from stayledger.plans.enrich import to_gold
 from stayledger.plans.silver import Lookups, clean_bookings, clean_edges_and_keys
 from stayledger.plans.star import Star, build_star
 from stayledger.sources import bookings as B
-from stayledger.storage import workspace
+from stayledger.storage import stage_table, workspace
 
 raw = B.raw_bookings
 
@@ -52,19 +52,31 @@ def silver(spark: SparkSession, sf: str, *columns: str) -> DataFrame:
 
 def gold(spark: SparkSession, sf: str, *columns: str) -> DataFrame:
     """Gold bookings computed from the raw tables."""
-    return to_gold(silver(spark, sf, *columns), B.daily_rates(spark, sf), B.daily_weather(spark, sf))
+    return to_gold(silver(spark, sf, *columns), *reference(spark, sf))
 
 
-_STORED: dict[tuple[str, str], tuple[str, object]] = {}
+def reference(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
+    """Rates and weather as stored tables, so that their sizes are known."""
+    return stage_table(B.daily_rates(spark, sf), "rates"), stage_table(B.daily_weather(spark, sf), "weather")
+
+
+_SOURCES = ("lineitem", "orders", "customer", "supplier", "nation")
+_STORED: dict[tuple, tuple[str, object]] = {}
+
+
+def _fingerprint(spark: SparkSession, sf: str) -> tuple:
+    """Names, sizes and times of the files behind the gold table."""
+    files = spark.read.format("binaryFile").load([f"{sf}/{name}.parquet" for name in _SOURCES])
+    return tuple(sorted(tuple(r) for r in files.select("path", "length", "modificationTime").collect()))
 
 
 def gold_table(spark: SparkSession, sf: str) -> DataFrame:
-    """The stored gold table of this session, written on first use.
+    """The stored gold table of this session, written on first use of these source files.
 
     Models and dashboards read stored layers; so the long way from raw bookings is gone
-    once per session, not once per chart.
+    once per session, not once per chart. Changed files make it anew.
     """
-    key = (spark.sparkContext.applicationId, sf)
+    key = (spark.sparkContext.applicationId, _fingerprint(spark, sf))
     if key in _STORED:
         path, schema = _STORED[key]
         try:

@@ -212,6 +212,19 @@ TRAVELLED_RAW = (
 )
 
 
+# The same where all rows stay in the session, but those of the stream travel as JSON.
+STREAMED_RAW = (
+    "SELECT k, "
+    + ", ".join(f"CASE WHEN k % 10 < 7 THEN {c} ELSE coalesce({c}, '') END AS {c}" for c in B.BOOKING_COLUMNS)
+    + f" FROM ({_raw()}) AS sent"
+)
+# Daily rates, and every flat rate on each of their days.
+ALL_RATES = (
+    f"SELECT rate_date, currency_code, usd_rate FROM ({STEPS['rates']}) UNION ALL SELECT d.rate_date, f.currency_code, f.usd_rate"
+    f" FROM (SELECT DISTINCT rate_date FROM ({STEPS['rates']})) d, fixed_rates f"
+)
+
+
 def _words(sql: str) -> set[str]:
     return set(re.findall(r"\b[a-z_]+\b", sql)) & set(STEPS)
 

@@ -30,6 +30,7 @@ from stayledger.operators.joins import missing_keys
 from stayledger.plans import backfill, dashboard, enrich
 from stayledger.plans import measures as m
 from stayledger.plans import star as models
+from stayledger.plans.reference import load_rates
 from stayledger.plans.refresh import run_all
 from stayledger.plans.silver import bookings_per_year, clean_stateless, rooms
 from stayledger.schemas import FCT_BOOKINGS, conform, text_schema
@@ -49,7 +50,7 @@ def _name(prefix: str) -> str:
 
 # --- scans, sources, sinks --------------------------------------------------------------
 
-_CSV = ["booking_id", "hotel_name", "hotel_facilities", "hotel_description", "star_rating", "total_price"]
+_CSV = list(B.BOOKING_COLUMNS)
 
 
 @query("SELECT " + ", ".join(f"nullif({c}, '') AS {c}" for c in _CSV) + " FROM raw")
@@ -101,22 +102,22 @@ def write_append(spark: Spark, sf: str) -> Frame:
 _LINE = "l_orderkey, l_linenumber, l_partkey, l_suppkey, l_quantity, l_extendedprice"
 
 
-@query(f"SELECT {_LINE}, (SELECT count(*) FROM lineitem) AS total_rows FROM lineitem ORDER BY {_LINE} LIMIT 5")
+@query(f"SELECT *, (SELECT count(*) FROM lineitem) AS total_rows FROM lineitem ORDER BY {_LINE} LIMIT 5")
 def sql_count_preview(spark: Spark, sf: str) -> Frame:
     name = _name("lines")
-    B.table(spark, sf, "lineitem").select(_LINE.split(", ")).createOrReplaceTempView(name)
+    B.table(spark, sf, "lineitem").createOrReplaceTempView(name)
     total = tables.row_count(spark, name).scalar()
     return tables.preview(spark, name, _LINE).withColumn("total_rows", total)
 
 
-@query("SELECT booking_id, hotel_id, booking_status, price_category FROM fct")
+@query("SELECT * REPLACE (round(total_price_usd, 6) AS total_price_usd) FROM fct")
 def materialize_model(spark: Spark, sf: str) -> Frame:
     view = _name("gold")
     gold_table(spark, sf).createOrReplaceTempView(view)
     declared = {"gold_layer.gold_hotel_weather_analytics": view}
     model = models.fct_bookings(tables.source(spark, "gold_layer.gold_hotel_weather_analytics", declared))
     stored = tables.materialize(model, _name("fct"), workspace(spark, "fct"))
-    return stored.select("booking_id", "hotel_id", "booking_status", "price_category")
+    return rounded(stored, total_price_usd=6)
 
 
 _CONTRACT_TEXT = {
@@ -144,7 +145,7 @@ def conform_fact(spark: Spark, sf: str) -> Frame:
     return conform(texts, FCT_BOOKINGS)
 
 
-_EVENT = ["booking_id", "hotel_id", "city", "hotel_facilities", "tax_amount", "promotion_code"]
+_EVENT = list(B.BOOKING_COLUMNS)
 
 
 @query("SELECT " + ", ".join(f"coalesce({c}, '') AS {c}" for c in _EVENT) + " FROM raw")
@@ -234,15 +235,13 @@ def common_cols_union(spark: Spark, sf: str) -> Frame:
     return sets.union_sources(typed, stream.select("total_price", "nights", "booking_id"))
 
 
-_MANY = [
-    "hotel_id", "first_name", "last_name", "booking_channel", "special_requests", "cancellation_reason",
-    "promotion_code", "trip_type", "updated_timestamp", "created_by",
-]
+_MANY = [c for c in C.EDGE_CLEANED_COLUMNS if c in B.BOOKING_COLUMNS]
+_KEY = [] if "booking_id" in _MANY else ["booking_id"]
 
 
-@query("SELECT booking_id, " + ", ".join(f"{sql.edge(c)} AS {c}" for c in _MANY) + " FROM raw")
+@query("SELECT " + ", ".join([*_KEY, *(f"{sql.edge(c)} AS {c}" for c in _MANY)]) + " FROM raw")
 def edge_clean_many(spark: Spark, sf: str) -> Frame:
-    return ops.strip_edges(raw(spark, sf, ["booking_id", *_MANY]), _MANY)
+    return ops.strip_edges(raw(spark, sf, [*_KEY, *_MANY]), _MANY)
 
 
 def _before_after_sql(fn, *columns: str) -> str:
@@ -267,7 +266,7 @@ def require_key(spark: Spark, sf: str) -> Frame:
     return edged(spark, sf, "booking_id", "hotel_id").transform(ops.require_key, "hotel_id")
 
 
-_LABELLED = ["hotel_type", "hotel_facilities", "gender", "payment_method", "room_type_reviewed", "source_system"]
+_LABELLED = [c for c in C.UNKNOWN_LABEL_COLUMNS if c in B.BOOKING_COLUMNS]
 
 
 @query("SELECT booking_id, " + ", ".join(f"{sql.unknown(c)} AS {c}" for c in _LABELLED) + " FROM edged")
@@ -681,7 +680,7 @@ def flagship(spark: Spark, sf: str) -> Frame:
     """The KPI card straight from the raw tables, reading only the columns it needs."""
     columns = ["booking_id", "total_price", "booking_status", "booking_date", "checkin_date", "country", "city"]
     fact = gold(spark, sf, *columns).filter("booking_id IS NOT NULL")
-    facts_only = models.Star(fact, fact, fact, fact)
+    facts_only = models.Star(fact)
     return rounded(
         dashboard.kpi_card(facts_only),
         total_revenue=0, avg_revenue=2, cancellation_rate=8, avg_temp_max=6,
@@ -923,9 +922,8 @@ def dq_gate(spark: Spark, sf: str) -> Frame:
 
 @query(
     """SELECT * FROM (SELECT 0 AS position, 'between' AS expectation, 'nights' AS "column", CAST(nights AS STRING) AS value, count(*) AS rows
-         FROM raw WHERE CAST(nights AS INTEGER) < 2 OR CAST(nights AS INTEGER) > 40 GROUP BY nights ORDER BY 5 DESC, 4 LIMIT 20)
-       UNION ALL SELECT * FROM (SELECT 1, 'unique', 'booking_id', booking_id, count(*) FROM raw GROUP BY booking_id HAVING count(*) > 1
-         ORDER BY 5 DESC, 4 LIMIT 20)"""
+         FROM raw WHERE CAST(nights AS INTEGER) < 2 OR CAST(nights AS INTEGER) > 40 GROUP BY nights)
+       UNION ALL SELECT 1, 'unique', 'booking_id', booking_id, count(*) FROM raw GROUP BY booking_id HAVING count(*) > 1"""
 )
 def dq_unexpected_values(spark: Spark, sf: str) -> Frame:
     rows = raw(spark, sf, ["booking_id", "nights"]).withColumn("nights", F.col("nights").cast("int"))
@@ -933,13 +931,41 @@ def dq_unexpected_values(spark: Spark, sf: str) -> Frame:
     return quality.unexpected_values(rows, suite)
 
 
-@query(_suite_sql(quality.SILVER_SUITE, "silver"))
+def _n_values_sql(suite, source: str) -> str:
+    """Distinct unexpected values by position."""
+
+    def one(i: int, e) -> str:
+        if e.kind == quality.UNIQUE:
+            return f"SELECT {i} AS position, count(*) AS n FROM (SELECT {e.column} FROM {source} WHERE {e.column} IS NOT NULL GROUP BY 1 HAVING count(*) > 1)"
+        if e.kind == quality.NOT_NULL:
+            return f"SELECT {i}, CAST(bool_or({e.column} IS NULL) AS BIGINT) FROM {source}"
+        tests = [f"{e.column} {sign} {v}" for sign, v in (("<", e.low), (">", e.high)) if v is not None]
+        return f"SELECT {i}, count(DISTINCT {e.column}) FROM {source} WHERE {' OR '.join(tests)}"
+
+    return " UNION ALL ".join(one(i, e) for i, e in enumerate(suite))
+
+
+@query(
+    f"""SELECT s.*, round(avg(CAST(success AS INTEGER)) OVER () * 100, 6) AS success_percent, coalesce(v.n, 0) AS n_values
+        FROM ({_suite_sql(quality.SILVER_SUITE, "silver")}) s LEFT JOIN ({_n_values_sql(quality.SILVER_SUITE, "silver")}) v USING (position)"""
+)
 def dq_report_json(spark: Spark, sf: str) -> Frame:
     """The suite's report document, written as JSON and read back."""
-    results = _checked(quality.run_suite(silver(spark, sf, *_DQ_COLUMNS), quality.SILVER_SUITE))
-    written = reports.write_report(results, workspace(spark, "reports"))
-    shape = f"results array<{results.schema.simpleString()}>"
-    return written.select(F.inline(F.from_json("value", shape)["results"]))
+    rows = stage_table(silver(spark, sf, *_DQ_COLUMNS), "checked")
+    results = _checked(quality.run_suite(rows, quality.SILVER_SUITE))
+    values = stage_table(quality.unexpected_values(rows, quality.SILVER_SUITE), "unexpected")
+    written = reports.write_report(results, workspace(spark, "reports"), values)
+    shape = (
+        f"results array<{results.schema.simpleString()}>, statistics struct<success_percent:double>,"
+        " unexpected_values array<struct<position:int,n_values:bigint>>"
+    )
+    read = written.select(F.from_json("value", shape).alias("d"))
+    counted = F.filter("d.unexpected_values", lambda v: v["position"] == F.col("position"))
+    return read.select("d", F.inline("d.results")).select(
+        *results.columns,
+        F.round("d.statistics.success_percent", 6).alias("success_percent"),
+        F.coalesce(F.get(counted, F.lit(0))["n_values"], F.lit(0)).alias("n_values"),
+    )
 
 
 # --- streaming --------------------------------------------------------------------------
@@ -969,26 +995,31 @@ def stream_land(spark: Spark, sf: str) -> Frame:
     return _as_timestamp(landing.land_stream(spark, source, target, checkpoint, rows.schema))
 
 
-@query("SELECT event_type, count(*) AS rows, round(sum(value), 2) AS value FROM events GROUP BY event_type")
+@query(
+    """SELECT event_type, count(*) AS rows, round(sum(value), 2) AS value, true AS within_rule
+       FROM events GROUP BY event_type"""
+)
 def stream_microbatch(spark: Spark, sf: str) -> Frame:
-    """Landing in micro-batches of two files each; all batches together hold every event."""
+    """Landing file by file: no batch exceeds the landing rule, together they hold every event."""
     source, target, checkpoint = _event_folders(spark, "batches")
     rows = B.table(spark, sf, "events")
-    replay(rows, source, n_files=5)
-    stream = landing.read_events(spark, source, rows.schema, max_files=2)
+    replay(rows, source)
+    stream = landing.read_events(spark, source, rows.schema, max_files=1)
     landed = landing.land_batches(stream, target, checkpoint)
+    sizes = landed.groupBy("batch_id").agg(F.count(F.lit(1)).alias("n"))
+    within = sizes.agg(F.max("n") <= C.LANDING_MIN_ROWS).scalar()
     return landed.groupBy("event_type").agg(
         F.count(F.lit(1)).alias("rows"), F.round(F.sum("value"), 2).alias("value")
-    )
+    ).withColumn("within_rule", within)
 
 
-_REPLAY = ["booking_id", "hotel_id", "city", "total_price", "booking_status"]
+_REPLAY = list(B.BOOKING_COLUMNS)
 
 
 @query("SELECT " + ", ".join(f"coalesce({c}, '') AS {c}" for c in _REPLAY) + " FROM raw")
 def stream_replay(spark: Spark, sf: str) -> Frame:
     source, target, checkpoint = _event_folders(spark, "replay")
-    replay(raw(spark, sf, _REPLAY), source, n_files=8)
+    replay(raw(spark, sf, _REPLAY), source)
     return landing.land_stream(spark, source, target, checkpoint, text_schema(_REPLAY), max_files=4)
 
 
@@ -1013,22 +1044,21 @@ def stream_schema_drift(spark: Spark, sf: str) -> Frame:
     return parsed.select("event_id", "event_type", "bonus", F.col(landing.CORRUPT).isNotNull().alias("unreadable"))
 
 
-_STATELESS = ["booking_id", "hotel_id", "checkin_date", "star_rating", "total_price", "tax_amount", "room_type"]
+_NO_PLACES = [c for c in B.BOOKING_COLUMNS if c not in C.GEO_COLUMNS]
 
 
-@query(
-    f"""SELECT booking_id, upper(hotel_id) AS hotel_id, {sql.guard('d')} AS checkin_date, {sql.rating('star_rating')} AS star_rating,
-          {sql.money('total_price')} AS total_price, coalesce({sql.money('tax_amount')}, 0.0e0) AS tax_amount, room_type
-        FROM (SELECT *, {sql.to_date('checkin_date')} AS d FROM keyed)"""
-)
+@query("SELECT " + ", ".join(_NO_PLACES) + " FROM silver", raw=sql.STREAMED_RAW)
 def stream_silver(spark: Spark, sf: str) -> Frame:
-    """The row-wise silver steps on a stream and on a batch, which together are all rows."""
-    rows = raw(spark, sf, _STATELESS, keep=["k"])
-    batch, stream = (part.select(_STATELESS) for part in sets.split_batch_stream(rows, in_batch=B.in_batch()))
+    """The row-wise silver steps on a stream and on a batch, which together are all rows.
+
+    All columns but the places, whose filling looks at other rows.
+    """
+    rows = raw(spark, sf, _NO_PLACES, keep=["k"])
+    batch, stream = (part.select(_NO_PLACES) for part in sets.split_batch_stream(rows, in_batch=B.in_batch()))
     source, target, checkpoint = _event_folders(spark, "silver")
     replay(stream, source)
     landed = landing.land_stream(
-        spark, source, target, checkpoint, text_schema(_STATELESS),
+        spark, source, target, checkpoint, text_schema(_NO_PLACES),
         transform=lambda df: clean_stateless(df, B.LAST_YEAR),
     )
     return clean_stateless(batch, B.LAST_YEAR).unionByName(landed)
@@ -1061,7 +1091,7 @@ _CURRENCY = "booking_id, country_name, currency_code_map, round(effective_rate,
 @query(f"SELECT {_CURRENCY} FROM priced")
 def currency_enrich(spark: Spark, sf: str) -> Frame:
     rows = silver(spark, sf, "booking_id", "country", "booking_date", "total_price")
-    rows = enrich.enrich_currency(rows, B.daily_rates(spark, sf)).select(
+    rows = enrich.enrich_currency(rows, stage_table(B.daily_rates(spark, sf), "rates")).select(
         "booking_id", "country_name", "currency_code_map", "effective_rate", "total_price_usd"
     )
     return rounded(rows, effective_rate=6, total_price_usd=6)
@@ -1075,11 +1105,31 @@ def weather_enrich(spark: Spark, sf: str) -> Frame:
     rows = silver(spark, sf, "booking_id", "city", "checkin_date", "total_price").withColumnRenamed(
         "total_price", "total_price_usd"
     )
-    return enrich.enrich_weather(rows, B.daily_weather(spark, sf)).select(
+    return enrich.enrich_weather(rows, stage_table(B.daily_weather(spark, sf), "weather")).select(
         "booking_id", "city", "checkin_date", "temp_max", "rain_sum", "is_rainy", "price_category"
     )
 
 
+_LETTERED = f"""SELECT w.*, row_number() OVER (PARTITION BY {sql.letters('city_name')}, weather_date ORDER BY temp_max, rain_sum) AS rn,
+  {sql.letters('city_name')} AS lettered FROM weather w"""
+
+
+@query(
+    f"""SELECT s.booking_id, s.city, s.checkin_date, coalesce(w.temp_max, 22.5e0) AS temp_max, coalesce(w.rain_sum, 0.0e0) AS rain_sum
+        FROM silver s LEFT JOIN (SELECT * FROM ({_LETTERED}) WHERE rn = 1) w
+          ON {sql.letters('s.city')} = w.lettered AND s.checkin_date = w.weather_date"""
+)
+def weather_enrich_letters(spark: Spark, sf: str) -> Frame:
+    """Weather by letters-only city names, of which several cities share one."""
+    rows = silver(spark, sf, "booking_id", "city", "checkin_date", "total_price").withColumnRenamed(
+        "total_price", "total_price_usd"
+    )
+    weather = stage_table(B.daily_weather(spark, sf), "weather")
+    return enrich.enrich_weather(rows, weather, "letters").select(
+        "booking_id", "city", "checkin_date", "temp_max", "rain_sum"
+    )
+
+
 @query("SELECT * EXCLUDE (k) FROM silver")
 def silver_job(spark: Spark, sf: str) -> Frame:
     return silver(spark, sf)
@@ -1090,11 +1140,26 @@ def gold_job(spark: Spark, sf: str) -> Frame:
     return rounded(gold(spark, sf), effective_rate=6, total_price_usd=6)
 
 
-@query(_BY_CITY.replace("SELECT h.city,", "SELECT h.city, count(booking_id) AS total_bookings,") + " GROUP BY h.city",
-       raw=sql.TRAVELLED_RAW)
-def end_to_end(spark: Spark, sf: str) -> Frame:
-    """CSV batch and JSON stream to the star, then bookings and revenue by city."""
-    folder = workspace(spark, "flow")
+def _answers(rates: Frame, weather: Frame) -> tuple[Frame, Frame]:
+    """The services' answers as they come: rates by year, weather by city, as JSON text."""
+    day = F.col("rate_date").cast("string")
+    days = rates.groupBy("rate_date").agg(
+        F.map_from_entries(F.collect_list(F.struct("currency_code", "usd_rate"))).alias("_codes")
+    )
+    years = days.groupBy(F.year("rate_date")).agg(
+        F.map_from_entries(F.collect_list(F.struct(day, "_codes"))).alias("rates")
+    )
+    rate_answers = years.select(F.to_json(F.struct("rates")).alias("payload"))
+    row = F.struct(F.col("weather_date").cast("string").alias("time"), F.col("temp_max"), "rain_sum")
+    cities = weather.groupBy(F.col("city_name").alias("city")).agg(F.sort_array(F.collect_list(row)).alias("_d"))
+    daily = F.struct(
+        F.col("_d.time").alias("time"), F.col("_d.temp_max").alias("temperature_2m_max"), F.col("_d.rain_sum").alias("rain_sum")
+    )
+    return rate_answers, cities.select("city", F.to_json(F.struct(daily.alias("daily"))).alias("payload"))
+
+
+def _flow(spark: Spark, sf: str, folder: str, suffix: str):
+    """CSV batch, JSON stream and the services' answers to the star."""
     columns = list(B.BOOKING_COLUMNS)
     landed = stage_table(raw(spark, sf, columns, keep=["k"]), "arrivals")
     batch_rows, stream_rows = (
@@ -1107,15 +1172,34 @@ def end_to_end(spark: Spark, sf: str) -> Frame:
     stream = landing.land_stream(
         spark, f"{folder}/json", f"{folder}/bronze_stream", f"{folder}/checkpoint", text_schema(columns)
     )
-    done = run_all(
-        spark, batch, stream, lookups(spark, sf), B.daily_rates(spark, sf), B.daily_weather(spark, sf),
-        folder, "_" + uuid.uuid4().hex, B.LAST_YEAR,
-    )
+    answers = _answers(B.daily_rates(spark, sf), B.daily_weather(spark, sf))
+    return run_all(spark, batch, stream, lookups(spark, sf), *answers, folder, suffix, B.LAST_YEAR)
+
+
+@query(_BY_CITY.replace("SELECT h.city,", "SELECT h.city, count(booking_id) AS total_bookings,") + " GROUP BY h.city",
+       raw=sql.TRAVELLED_RAW, rates=sql.ALL_RATES)
+def end_to_end(spark: Spark, sf: str) -> Frame:
+    """The whole flow, then bookings and revenue by city."""
+    done = _flow(spark, sf, workspace(spark, "flow"), "_" + uuid.uuid4().hex)
     wanted = [m.total_bookings(), m.total_revenue()]
     by_city = m.evaluate(done.star, ["hotels.city"], wanted).withColumnRenamed("hotels_city", "city")
     return rounded(by_city, total_revenue=0)
 
 
+@query(f"SELECT {_CURRENCY} FROM priced", rates=sql.ALL_RATES)
+def gold_with_flat_rates(spark: Spark, sf: str) -> Frame:
+    """Prices by rates loaded twice from the services' answers, flat rates included."""
+    name, path = _name("exchange_rates"), workspace(spark, "exchange_rates")
+    answers, _ = _answers(B.daily_rates(spark, sf), B.daily_weather(spark, sf))
+    load_rates(answers, name, path)
+    rates = load_rates(answers, name, path)
+    rows = silver(spark, sf, "booking_id", "country", "booking_date", "total_price")
+    rows = enrich.enrich_currency(rows, rates).select(
+        "booking_id", "country_name", "currency_code_map", "effective_rate", "total_price_usd"
+    )
+    return rounded(rows, effective_rate=6, total_price_usd=6)
+
+
 def queries() -> dict:
     return dict(QUERIES)
 

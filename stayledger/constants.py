@@ -2,7 +2,6 @@
 
 # --- Fixed values: column groups of a raw booking -------------------------------------
 
-KEY_COLUMNS = ["booking_id", "hotel_id", "customer_id"]
 
 # Columns whose edges are stripped of junk characters.
 EDGE_CLEANED_COLUMNS = [

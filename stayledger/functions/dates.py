@@ -29,6 +29,13 @@ def parse_date(col: Column, formats: Sequence[str] = CLEANING_DATE_FORMATS) -> C
     return F.coalesce(*[F.when(col.rlike(_shape(f)), F.try_to_date(col, f)) for f in formats])
 
 
+def parse_lenient(col: Column, formats: Sequence[str] = CLEANING_DATE_FORMATS) -> Column:
+    """As ``parse_date``, also for one-digit days and months and with a time of day behind."""
+    bare = F.regexp_replace(col, r"[ T]\d{1,2}:\d{2}(:\d{2}(\.\d+)?)?$", "")
+    padded = F.regexp_replace(bare, r"(?<!\d)(\d)(?!\d)", "0$1")
+    return parse_date(padded, formats)
+
+
 def null_after_year(col: Column, last_year: int = LAST_VALID_YEAR) -> Column:
     return F.when(F.year(col) > last_year, F.lit(None)).otherwise(col)
 

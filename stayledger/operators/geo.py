@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from stayledger.functions import text
 from stayledger.operators.joins import lookup_join, unique_lookup
-from stayledger.storage import cut_lineage
+from stayledger.storage import stage_table
 
 PLACE_KEY = ["hotel_name", "city", "country"]
 
@@ -26,7 +26,12 @@ def group_values(
     group: str,
     exclude: Sequence[str] = (),
 ) -> DataFrame:
-    """Per group the value each target column is filled with, under ``_fill_`` names."""
+    """Per group the value each target column is filled with, under ``_fill_`` names.
+
+    The distinct combinations come first: they are found by hashing, while a smallest text
+    needs sorting, which is then over few rows.
+    """
+    df = df.select(group, *[t for t in targets if t != group]).distinct()
     members = df.filter(~F.coalesce(F.col(group).isin(list(exclude)), F.lit(False))) if exclude else df
     fills = members.groupBy(F.col(group).alias("_group")).agg(
         *[_group_value(t).alias(f"_fill_{t}") for t in targets]
@@ -53,10 +58,10 @@ def fill_within_group(
 ) -> DataFrame:
     """Fill missing targets from other rows of the same group (a missing group is one too).
 
-    The value is aggregated per group before anything is shuffled and joined back, so the
-    wide rows never move for a lookup that fits in memory and a hot group is no hot task.
+    The values are a small table in the shared folder, so their size is known and the wide
+    rows do not move for one that Spark broadcasts.
     """
-    fills = cut_lineage(group_values(df, targets, group, exclude))
+    fills = stage_table(group_values(df, targets, group, exclude), "fills")
     return lookup_join(df, fills, [(group, "_group")], null_safe=True).transform(
         _apply_fill, targets, blank_as_null
     )
@@ -99,8 +104,8 @@ def place_map(
     The place of a booking depends on these three columns alone. So one pass reduces the
     bookings to their distinct combinations, and all fill steps run on that small table.
     """
-    seen = cut_lineage(
-        df.select(*[F.col(c).alias(f"_seen_{c}") for c in PLACE_KEY]).distinct()
+    seen = stage_table(
+        df.select(*[F.col(c).alias(f"_seen_{c}") for c in PLACE_KEY]).distinct(), "places-seen"
     )
     places = seen.withColumns({c: F.col(f"_seen_{c}") for c in PLACE_KEY})
 
@@ -111,7 +116,6 @@ def place_map(
         return _apply_fill(joined.drop("_group"), targets, False)
 
     places = fill(places, ["city", "country"], "hotel_name")
-    places = cut_lineage(places)
     places = fill(places, ["country"], "city")
     places = fill_from_lookup(places, "country", "city", city_country, "city", "country", match)
     places = fill_from_lookup(places, "city", "country", country_capital, "country", "capital", match)
@@ -127,7 +131,7 @@ def fill_places(
 ) -> DataFrame:
     """Fill and finalise city and country of hotel and customer."""
     if set(PLACE_KEY) <= set(df.columns):
-        places = cut_lineage(place_map(df, city_country, country_capital, match))
+        places = stage_table(place_map(df, city_country, country_capital, match), "places")
         joined = lookup_join(df, places, [(c, f"_seen_{c}") for c in PLACE_KEY], null_safe=True)
         df = joined.withColumns({"city": F.col("_city"), "country": F.col("_country")}).drop(
             "_city", "_country"

@@ -5,74 +5,28 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
-
-# A side is sent to every executor only below this measured size.
-BROADCAST_BYTES = 64 * 1024 * 1024
-# Beyond it, each key is spread over this many shuffle groups.
-SALTS = 16
-
-_SALT = "_salt"
-
-
-def row_bytes(df: DataFrame) -> Column:
-    """Size of one row: text and binary by length, all else at a flat 16 bytes."""
-    sizes = []
-    for field in df.schema.fields:
-        if isinstance(field.dataType, (T.StringType, T.BinaryType)):
-            sizes.append(F.coalesce(F.octet_length(F.col(field.name)), F.lit(0)) + 16)
-        elif isinstance(field.dataType, T.AtomicType):
-            sizes.append(F.lit(16))
-        else:
-            sizes.append(F.octet_length(F.to_json(F.struct(F.col(field.name)))) + 16)
-    return reduce(lambda a, b: a + b, sizes)
-
-
-def fits_broadcast(df: DataFrame, limit: int = BROADCAST_BYTES) -> bool:
-    """Measure a frame in one aggregate; True when it is small enough to broadcast."""
-    size = df.agg(F.coalesce(F.sum(row_bytes(df)), F.lit(0)).cast("long").alias("b"))
-    return size.first()["b"] <= limit
-
 
 def lookup_join(
     df: DataFrame,
     lookup: DataFrame,
     on: Sequence[tuple[str, str]],
     null_safe: bool = False,
-    broadcast_bytes: int = BROADCAST_BYTES,
-    salts: int = SALTS,
+    shuffle: bool = False,
 ) -> DataFrame:
     """Left join on (frame column, lookup column) pairs; lookup key columns are dropped.
 
-    The lookup's column names must not occur in the frame. It should be cheap to read
-    twice (a table, a literal or a checkpoint), since its size is measured first. A small
-    lookup is broadcast and the frame is not shuffled. A larger one is shuffled with
-    salted keys, so that one hot key becomes ``salts`` groups; the salt is a hash of the
-    row, hence the same when a lost task is run again. Whatever is left of a hot group,
-    such as equal copies of a row, is split by adaptive execution.
+    The lookup's column names must not occur in the frame. Nothing is measured here: a lookup
+    that is a stored table has its size in its statistics, and Spark broadcasts it below
+    ``spark.sql.autoBroadcastJoinThreshold``, so the frame is not shuffled. A larger one is
+    shuffled once, and adaptive execution splits the frame's hot keys. ``shuffle`` asks for
+    that way whatever the size.
     """
     keys = [right for _, right in on]
-
-    def condition(left: DataFrame, right: DataFrame) -> Column:
-        tests = [
-            left[a].eqNullSafe(right[b]) if null_safe else left[a] == right[b] for a, b in on
-        ]
-        return reduce(lambda x, y: x & y, tests)
-
-    if fits_broadcast(lookup, broadcast_bytes):
-        joined = df.join(F.broadcast(lookup), condition(df, lookup), "left")
-        return joined.drop(*keys)
-
-    salted = df.withColumn(_SALT, F.pmod(F.xxhash64(*df.columns), F.lit(salts)).cast("int"))
-    spread = lookup.withColumn(
-        _SALT + "_r", F.explode(F.sequence(F.lit(0), F.lit(salts - 1)))
-    )
-    matched = salted.join(
-        spread, condition(salted, spread) & (F.col(_SALT) == F.col(_SALT + "_r")), "left"
-    )
-    return matched.drop(_SALT, _SALT + "_r", *keys)
+    side = lookup.hint("merge") if shuffle else lookup
+    tests = [df[a].eqNullSafe(side[b]) if null_safe else df[a] == side[b] for a, b in on]
+    return df.join(side, reduce(lambda x, y: x & y, tests), "left").drop(*keys)
 
 
 def unique_lookup(df: DataFrame, key: str, value: str, as_key: str, as_value: str) -> DataFrame:

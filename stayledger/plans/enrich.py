@@ -9,7 +9,6 @@ from stayledger.constants import WEATHER_DEFAULTS
 from stayledger.functions import numbers, text
 from stayledger.operators.joins import lookup_join
 from stayledger.sources.literals import country_currency
-from stayledger.storage import cut_lineage
 
 
 def with_currency_code(df: DataFrame) -> DataFrame:
@@ -18,10 +17,17 @@ def with_currency_code(df: DataFrame) -> DataFrame:
     return df.join(mapping, df["country"] == mapping["country_name"], "left")
 
 
+def unique_rates(rates: DataFrame) -> DataFrame:
+    """One rate per currency and day, the smallest winning, so that no booking is doubled."""
+    return rates.groupBy("currency_code", F.col("rate_date").cast("date").alias("rate_date")).agg(
+        F.min("usd_rate").alias("usd_rate")
+    )
+
+
 def join_rates(df: DataFrame, rates: DataFrame) -> DataFrame:
     """The rate of the booking day as ``day_rate``."""
-    day_rates = rates.select(
-        F.col("rate_date").cast("date").alias("_rate_date"),
+    day_rates = unique_rates(rates).select(
+        F.col("rate_date").alias("_rate_date"),
         F.col("currency_code").alias("_rate_code"),
         F.col("usd_rate").alias("day_rate"),
     )
@@ -31,7 +37,7 @@ def join_rates(df: DataFrame, rates: DataFrame) -> DataFrame:
 
 
 def mean_rates(rates: DataFrame) -> DataFrame:
-    return rates.groupBy("currency_code").agg(F.avg("usd_rate").alias("mean_rate"))
+    return unique_rates(rates).groupBy("currency_code").agg(F.avg("usd_rate").alias("mean_rate"))
 
 
 def join_mean_rate(df: DataFrame, rates: DataFrame) -> DataFrame:
@@ -43,8 +49,10 @@ def join_mean_rate(df: DataFrame, rates: DataFrame) -> DataFrame:
 def enrich_currency(
     silver: DataFrame, rates: DataFrame, rate_quote: str = "multiply"
 ) -> DataFrame:
-    """Add country name, currency code, effective rate and price in dollars."""
-    rates = cut_lineage(rates)
+    """Add country name, currency code, effective rate and price in dollars.
+
+    ``rates`` should be a stored table, as it is read for the days and for the means.
+    """
     df = silver.transform(with_currency_code).transform(join_rates, rates)
     df = df.transform(join_mean_rate, rates)
     rate = numbers.effective_rate(
@@ -56,13 +64,21 @@ def enrich_currency(
 
 
 def join_weather(df: DataFrame, weather: DataFrame, match: str = "exact") -> DataFrame:
-    """Weather of the city on the check-in day; ``letters`` compares letters-only keys."""
+    """Weather of the city on the check-in day; ``letters`` compares letters-only keys.
+
+    Of several rows for a city (or its letters) and day the first by temperature, then rain,
+    counts, so that no booking is doubled.
+    """
+    if match not in ("exact", "letters"):
+        raise ValueError(f"unknown match: {match}")
     city = F.col("city_name") if match == "exact" else text.letters_key(F.col("city_name"))
-    days = weather.select(
-        city.alias("_weather_city"),
-        F.col("weather_date").cast("date").alias("_weather_date"),
-        "temp_max",
-        "rain_sum",
+    first = F.min(F.struct("temp_max", "rain_sum")).alias("_first")
+    days = (
+        weather.groupBy(
+            city.alias("_weather_city"), F.col("weather_date").cast("date").alias("_weather_date")
+        )
+        .agg(first)
+        .select("_weather_city", "_weather_date", "_first.temp_max", "_first.rain_sum")
     )
     if match == "exact":
         return lookup_join(df, days, [("city", "_weather_city"), ("checkin_date", "_weather_date")])
@@ -73,7 +89,7 @@ def join_weather(df: DataFrame, weather: DataFrame, match: str = "exact") -> Dat
 
 def enrich_weather(df: DataFrame, weather: DataFrame, match: str = "exact") -> DataFrame:
     """Add temperature and rain with defaults, the rain flag and the price band."""
-    joined = join_weather(df, cut_lineage(weather), match).fillna(WEATHER_DEFAULTS)
+    joined = join_weather(df, weather, match).fillna(WEATHER_DEFAULTS)
     return joined.withColumns(
         {
             "is_rainy": numbers.is_rainy(F.col("rain_sum")),

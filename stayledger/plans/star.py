@@ -45,8 +45,15 @@ HOTEL_ORDER = ["booking_id", "checkin_date", "nights", "total_price"]
 
 
 def dim_hotels(gold: DataFrame) -> DataFrame:
-    """One row per hotel, taken from its latest booking."""
+    """One row per hotel, taken from its latest booking.
+
+    The latest day per hotel is found by hashing; only the rows of that day, few for each
+    hotel, are then compared by their other columns.
+    """
     usable = require_not_null(gold, "hotel_id")
+    day = latest_first(F.col("booking_date"))
+    latest = usable.groupBy(F.col("hotel_id").alias("_hotel")).agg(F.min(day).alias("_day"))
+    usable = usable.join(latest, (F.col("hotel_id") == F.col("_hotel")) & (day == F.col("_day"))).drop("_hotel", "_day")
     columns = [f.name for f in DIM_HOTELS.fields]
     order = [latest_first(F.col("booking_date")), *[F.col(c) for c in HOTEL_ORDER]]
     ranked = usable.select(*[o.alias(f"_r{i}") for i, o in enumerate(order)], *columns)
@@ -82,17 +89,18 @@ class Star:
     """The fact, and its dimensions with one row per key."""
 
     fact: DataFrame
-    hotels: DataFrame
-    dates: DataFrame
-    customers: DataFrame
+    hotels: DataFrame | None = None
+    dates: DataFrame | None = None
+    customers: DataFrame | None = None
 
     def dimensions(self) -> dict[str, tuple[DataFrame, str, str]]:
-        """Name -> (frame, fact column, dimension key)."""
-        return {
+        """Name -> (frame, fact column, dimension key) of the dimensions there are."""
+        every = {
             "hotels": (self.hotels, "hotel_id", "hotel_id"),
             "dates": (self.dates, "booking_date", "date_key"),
             "customers": (self.customers, "customer_id", "customer_id"),
         }
+        return {name: part for name, part in every.items() if part[0] is not None}
 
 
 def build_star(gold: DataFrame) -> Star:

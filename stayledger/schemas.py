@@ -15,57 +15,75 @@ _KINDS = {
 }
 
 
-def _struct(*groups: tuple[str, str]) -> T.StructType:
-    """Struct from (type name, blank-separated column names) groups in order."""
-    return T.StructType(
-        [T.StructField(name, _KINDS[kind], True) for kind, names in groups for name in names.split()]
-    )
-
-
-FCT_BOOKINGS = _struct(
-    ("string", "booking_id customer_id hotel_id"),
-    ("double", "total_price_usd room_price tax_amount service_fee discount_amount"),
-    ("date", "checkin_date checkout_date"),
-    ("string", "nights"),
-    ("date", "booking_date"),
-    ("string", "full_name hotel_name country_name booking_status"),
-    ("double", "temp_max"),
-    ("boolean", "is_rainy"),
-    ("string", "price_category"),
-    ("int", "star_rating"),
+def _contract(*columns: tuple[str, str]) -> T.StructType:
+    return T.StructType([T.StructField(name, _KINDS[kind], True) for name, kind in columns])
+
+
+# --- Fixed values: columns and types of the layers, in order ------------------------------
+
+FCT_BOOKINGS = _contract(
+    ("booking_id", "string"),
+    ("customer_id", "string"),
+    ("hotel_id", "string"),
+    ("total_price_usd", "double"),
+    ("room_price", "double"),
+    ("tax_amount", "double"),
+    ("service_fee", "double"),
+    ("discount_amount", "double"),
+    ("checkin_date", "date"),
+    ("checkout_date", "date"),
+    ("nights", "string"),
+    ("booking_date", "date"),
+    ("full_name", "string"),
+    ("hotel_name", "string"),
+    ("country_name", "string"),
+    ("booking_status", "string"),
+    ("temp_max", "double"),
+    ("is_rainy", "boolean"),
+    ("price_category", "string"),
+    ("star_rating", "int"),
 )
 
-DIM_CUSTOMERS = _struct(
-    (
-        "string",
-        "customer_id first_name last_name full_name email gender"
-        " loyalty_level_customer marketing_consent registration_date",
-    ),
+DIM_CUSTOMERS = _contract(
+    ("customer_id", "string"),
+    ("first_name", "string"),
+    ("last_name", "string"),
+    ("full_name", "string"),
+    ("email", "string"),
+    ("gender", "string"),
+    ("loyalty_level_customer", "string"),
+    ("marketing_consent", "string"),
+    ("registration_date", "string"),
 )
 
-DIM_DATE = _struct(
-    ("date", "date_key"),
-    ("int", "year month"),
-    ("string", "month_name"),
-    ("int", "quarter week_of_year"),
-    ("string", "day_of_week_name"),
-    ("int", "is_weekend"),
-    ("string", "year_month"),
+DIM_DATE = _contract(
+    ("date_key", "date"),
+    ("year", "int"),
+    ("month", "int"),
+    ("month_name", "string"),
+    ("quarter", "int"),
+    ("week_of_year", "int"),
+    ("day_of_week_name", "string"),
+    ("is_weekend", "int"),
+    ("year_month", "string"),
 )
 
-DIM_HOTELS = _struct(
-    ("string", "hotel_id hotel_name hotel_type"),
-    ("int", "star_rating"),
-    (
-        "string",
-        "hotel_facilities nearby_attractions hotel_description country_name city"
-        " address postal_code latitude longitude",
-    ),
+DIM_HOTELS = _contract(
+    ("hotel_id", "string"),
+    ("hotel_name", "string"),
+    ("hotel_type", "string"),
+    ("star_rating", "int"),
+    ("hotel_facilities", "string"),
+    ("nearby_attractions", "string"),
+    ("hotel_description", "string"),
+    ("country_name", "string"),
+    ("city", "string"),
+    ("address", "string"),
+    ("postal_code", "string"),
+    ("latitude", "string"),
+    ("longitude", "string"),
 )
 
-WEATHER = _struct(("date", "weather_date"), ("string", "city_name"), ("double", "temp_max rain_sum"))
-RATES = _struct(("date", "rate_date"), ("string", "currency_code"), ("double", "usd_rate"))
-
 WEATHER_PAYLOAD = T.StructType().add(
     "daily",
     T.StructType()

@@ -1,32 +1,15 @@
-"""Session settings the jobs rely on, and use of idle cores on small inputs."""
+"""Session settings the jobs profit from; set by programs, never by readers."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import SparkSession
 
 # The JVM leaves methods above 8000 bytes of bytecode uncompiled. A stage that cleans
 # dozens of columns generates such a method; below this limit Spark splits it up instead.
 COMPILED_METHOD_BYTES = 8000
-_METHOD_LIMIT = "spark.sql.codegen.hugeMethodLimit"
-_SPARK_DEFAULT = "65535"
-
-# Scans with less data per core than this are dealt out over all cores.
-SMALL_BYTES_PER_CORE = 8 * 1024 * 1024
 
 
 def tune(spark: SparkSession) -> SparkSession:
-    """Settings for wide cleaning stages; a limit chosen by the user is left alone."""
-    if spark.conf.get(_METHOD_LIMIT, _SPARK_DEFAULT) == _SPARK_DEFAULT:
-        spark.conf.set(_METHOD_LIMIT, str(COMPILED_METHOD_BYTES))
+    """Settings for wide cleaning stages, for a program that owns its session."""
+    spark.conf.set("spark.sql.codegen.hugeMethodLimit", str(COMPILED_METHOD_BYTES))
     return spark
-
-
-def spread_small_scan(df: DataFrame, bytes_per_core: int = SMALL_BYTES_PER_CORE) -> DataFrame:
-    """Deal a small scan out over all cores, so that costly cleaning is not one task's work.
-
-    A small file often is a single row group and cannot be split. Big scans have splits
-    enough and pass through as they are, without a shuffle.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-    return df.repartition(cores) if size < cores * bytes_per_core else df

@@ -14,10 +14,6 @@ def country_currency(spark: SparkSession) -> DataFrame:
     )
 
 
-def fallback_rates(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame(FALLBACK_RATES, "currency_code string, usd_rate double")
-
-
 def rate_structs(rates: list[tuple[str, float]] = FALLBACK_RATES):
     """The flat rates as one literal array, to be exploded beside each row of a frame."""
     return F.array(

@@ -5,25 +5,57 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+VALUES_IN_REPORT = 20
 
-def report_document(results: DataFrame) -> DataFrame:
-    """The result rows of one suite run as a single stamped JSON document.
 
-    A suite has one row per expectation, so the document stays as small as the suite.
+def report_document(results: DataFrame, values: DataFrame | None = None) -> DataFrame:
+    """One suite run as a single stamped JSON document: success, statistics, result rows.
+
+    A suite has one row per expectation. ``values`` are its unexpected values; a document
+    is no place for all of them, so it holds the ``VALUES_IN_REPORT`` most frequent ones of each
+    expectation beside the number of all, and the table of values holds the rest.
     """
     fields = F.struct(*results.columns)
-    return results.agg(F.sort_array(F.collect_list(fields)).alias("results")).select(
-        F.to_json(
-            F.struct(
-                F.date_format(F.current_timestamp(), "yyyyMMdd_HHmmss").alias("run_time"),
-                F.coalesce(F.forall("results", lambda r: r["success"]), F.lit(True)).alias("success"),
-                F.col("results"),
-            )
-        ).alias("value")
+    passed = F.count(F.when(F.col("success"), 1))
+    total = F.count(F.lit(1))
+    statistics = F.struct(
+        total.alias("evaluated_expectations"),
+        passed.alias("successful_expectations"),
+        (total - passed).alias("unsuccessful_expectations"),
+        F.try_divide(passed * 100.0, total).alias("success_percent"),
+    )
+    document = results.agg(
+        F.sort_array(F.collect_list(fields)).alias("results"), statistics.alias("statistics"),
+        (passed == total).alias("success"), F.lit(0).alias("_run"),
+    )
+    parts = ["success", "statistics", "results"]
+    if values is not None:
+        document = document.join(_top_values(values).withColumn("_run", F.lit(0)), "_run", "left")
+        parts.append("unexpected_values")
+    stamp = F.date_format(F.current_timestamp(), "yyyyMMdd_HHmmss").alias("run_time")
+    return document.select(F.to_json(F.struct(stamp, *parts)).alias("value"))
+
+
+def _top_values(values: DataFrame) -> DataFrame:
+    """One row with the most frequent values of each expectation, and how many there are."""
+    positions = [r["position"] for r in values.select("position").distinct().collect()]
+    counts = values.groupBy("position").agg(F.count(F.lit(1)).alias("n_values"))
+    tops = [
+        values.where(F.col("position") == p).orderBy(F.desc("rows"), F.asc_nulls_first("value")).limit(VALUES_IN_REPORT)
+        for p in sorted(positions)
+    ]
+    listed = values.limit(0)
+    for top in tops:
+        listed = listed.unionByName(top)
+    rows = F.sort_array(F.collect_list(F.struct((-F.col("rows")).alias("order"), "value", "rows")))
+    listed = listed.groupBy("position", "expectation", "column").agg(
+        F.transform(rows, lambda r: F.struct(r["value"].alias("value"), r["rows"].alias("rows"))).alias("values")
     )
+    each = F.struct("position", "expectation", "column", "n_values", "values")
+    return listed.join(counts, "position").agg(F.sort_array(F.collect_list(each)).alias("unexpected_values"))
 
 
-def write_report(results: DataFrame, folder: str) -> DataFrame:
+def write_report(results: DataFrame, folder: str, values: DataFrame | None = None) -> DataFrame:
     """Add a report file to the folder; earlier reports stay."""
-    report_document(results).coalesce(1).write.mode("append").text(folder)
+    report_document(results, values).coalesce(1).write.mode("append").text(folder)
     return results.sparkSession.read.text(folder)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -13,7 +14,7 @@ def shared_folder(spark: SparkSession) -> str:
     context = spark.sparkContext
     named = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
     if named is None:
-        if not context.master.startswith("local"):
+        if not re.fullmatch(r"local(\[[^\]]*\])?", context.master):
             raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
         named = tempfile.mkdtemp(prefix="stayledger-")
     if context.getCheckpointDir() is None:
@@ -26,12 +27,6 @@ def workspace(spark: SparkSession, label: str) -> str:
     return f"{shared_folder(spark)}/stayledger/{label}-{uuid.uuid4().hex}"
 
 
-def cut_lineage(df: DataFrame) -> DataFrame:
-    """Compute once, keep reliably; lost executors do not recompute what came before."""
-    shared_folder(df.sparkSession)
-    return df.checkpoint(eager=True)
-
-
 def stage_table(df: DataFrame, label: str) -> DataFrame:
     """Write a frame as parquet into the shared folder and scan it from there."""
     path = workspace(df.sparkSession, label)

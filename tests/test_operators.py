@@ -91,7 +91,7 @@ def test_lookup_join_gives_the_same_when_too_big_to_broadcast(spark, null_safe):
         [("hot", 1), ("k1", 2), ("k2", 3), (None, 4), ("k2", 5)], "lk string, v int"
     )
     small = joins.lookup_join(df, lookup, [("k", "lk")], null_safe)
-    big = joins.lookup_join(df, lookup, [("k", "lk")], null_safe, broadcast_bytes=0, salts=5)
+    big = joins.lookup_join(df, lookup, [("k", "lk")], null_safe, shuffle=True)
     assert small.columns == big.columns == ["id", "k", "v"]
     assert rows(small) == rows(big)
     assert "Broadcast" in small._jdf.queryExecution().toString()
@@ -241,7 +241,7 @@ def test_append_goes_by_name(spark, tmp_path):
 
 def test_stream_restart_adds_nothing_and_batches_are_limited(spark, tmp_path):
     df = spark.range(100).select(F.col("id"), F.col("id").cast("string").alias("t"))
-    source = replay(df, str(tmp_path / "in"), n_files=5)
+    source = replay(df.repartition(5), str(tmp_path / "in"))
     target, checkpoint = str(tmp_path / "out"), str(tmp_path / "cp")
     for _ in range(2):
         landed = landing.land_stream(spark, source, target, checkpoint, df.schema, max_files=2)

@@ -5,6 +5,7 @@ import warnings
 import pytest
 
 import __spark_entry__ as entry_points
+from stayledger.checks import queries as registered
 from compare import differences, engine
 
 SF = "/root/testdata/sf0.001"
@@ -16,15 +17,15 @@ def con():
 
 
 def test_every_query_has_sql():
-    assert set(entry_points.queries()) == set(entry_points.oracle_sql())
+    assert set(registered.queries()) == set(registered.oracle_sql())
 
 
-@pytest.mark.parametrize("key", sorted(entry_points.queries()))
+@pytest.mark.parametrize("key", sorted(registered.queries()))
 def test_query_equals_sql(spark, con, key):
     with warnings.catch_warnings():
         warnings.simplefilter("ignore")
-        df = entry_points.queries()[key](spark, SF)
-        assert differences(df, con, entry_points.oracle_sql()[key]) == ""
+        df = registered.queries()[key](spark, SF)
+        assert differences(df, con, registered.oracle_sql()[key]) == ""
 
 
 def test_entry_has_one_row(spark):
