@@ -29,15 +29,17 @@ def group_values(
     """Per group the value each target column is filled with, under ``_fill_`` names.
 
     The distinct combinations come first: they are found by hashing, while a smallest text
-    needs sorting, which is then over few rows.
+    needs sorting, which is then over few rows. They are counted, and the counts used, since
+    the optimizer would merge a plain distinct into the aggregate above it.
     """
-    df = df.select(group, *[t for t in targets if t != group]).distinct()
+    columns = list(dict.fromkeys([group, *targets]))
+    df = df.groupBy(*columns).agg(F.count(F.lit(1)).alias("_n"))
     members = df.filter(~F.coalesce(F.col(group).isin(list(exclude)), F.lit(False))) if exclude else df
     fills = members.groupBy(F.col(group).alias("_group")).agg(
-        *[_group_value(t).alias(f"_fill_{t}") for t in targets]
+        *[_group_value(t).alias(f"_fill_{t}") for t in targets], F.sum("_n").alias("_rows")
     )
     useful = F.coalesce(*[F.col(f"_fill_{t}") for t in targets]).isNotNull()
-    return fills.filter(useful)
+    return fills.filter(useful & (F.col("_rows") > 0)).drop("_rows")
 
 
 def _apply_fill(joined: DataFrame, targets: Sequence[str], blank_as_null: bool) -> DataFrame:
