@@ -7,11 +7,12 @@ the similarity asked for, a pair misses all of the ``BANDS`` buckets with a chan
 a million; whatever meets in a bucket is judged by the exact similarity of the full sets.
 
 Equal sets are one class, so copies are never compared. A bucket is not expanded into
-pairs. In each round it is compared with one or more centres: first the document that
-shares most with others, later a growing random choice. A centre has then met all of its
-bucket that is not already connected with it, so it can leave. A bucket is done when what
-is left of it is connected. Rounds go on until all buckets are done; there is no cap. Only
-pairs whose sizes allow the similarity are compared.
+pairs. First it is compared with one centre, the document that shares most with others;
+this links most near copies. A bucket is done when all of it is connected. The documents of
+the other buckets form clusters, connected by buckets, and a cluster is dealt into blocks of
+about ``BLOCK`` documents; two blocks at a time are compared in one task by the product of
+their shingle incidence, and only links that connect two components leave the task. Blocks
+of one and the same component are not compared. There is no cap, and no list of pairs.
 
 Components come from alternating star contractions; labels and links stay distributed.
 Results between rounds are tables in the shared folder.
@@ -39,7 +40,9 @@ SHINGLE = 5
 PERCENT = 75
 # A pair at 75 per cent misses all buckets with a chance of (1 - 0.75 ** 5) ** 56, 3 in 10 million.
 BANDS, ROWS = 56, 5
-CENTRES, GROWTH = 16, 4
+BLOCK = 200
+# Columns of shingles that are multiplied at once.
+COLUMNS = 4096
 CHUNK_BYTES = 2 << 20
 
 _BLANK = np.zeros(256, bool)
@@ -200,22 +203,19 @@ def linked(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
 
 def components(links: DataFrame) -> DataFrame:
     """Smallest reachable node of every node of the links (a, b): columns ``node``, ``root``."""
-    edges = stage_table(links.select("a", "b").where("a <> b").distinct(), "links")
-    before = None
+    edges = links.select("a", "b").where("a <> b")
     while True:
         mirrored = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
         least = mirrored.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("least"))
         large = mirrored.join(least, "a").where("b > a").select(F.col("b").alias("a"), F.col("least").alias("b"))
         # Every edge now points to a smaller node.
-        large = large.where("a <> b").distinct()
+        large = stage_table(large.where("a <> b").distinct(), "large-stars")
         least = large.groupBy("a").agg(F.min("b").alias("least"))
         small = large.join(least, "a").where("b <> least").select(F.col("b").alias("a"), F.col("least").alias("b"))
-        small = small.unionByName(least.select("a", F.col("least").alias("b"))).distinct()
-        edges = stage_table(small, "stars")
-        now = edges.agg(F.count(F.lit(1)), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
-        if now == before:
+        edges = stage_table(small.unionByName(least.select("a", F.col("least").alias("b"))).distinct(), "stars")
+        # Done when no root points on: then each node has one edge, to its root.
+        if edges.join(edges.select(F.col("b").alias("a")).distinct(), "a", "left_semi").isEmpty():
             return edges.select(F.col("a").alias("node"), F.col("b").alias("root"))
-        before = now
 
 
 def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", percent: int = PERCENT) -> DataFrame:
@@ -241,36 +241,77 @@ def _roots(rows: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
     shared = banded.groupBy("key").agg(F.count(F.lit(1)).alias("m")).where("m > 1")
     met = stage_table(banded.join(shared, "key"), "buckets")
     # A document in many large buckets is like many others: a good centre.
-    hubs = met.groupBy("rep").agg(F.sum("m").alias("hub"))
-    open_ = stage_table(met.join(hubs, "rep").withColumn("comp", F.col("rep")), "open")
+    hubs = stage_table(met.groupBy("rep").agg(F.sum("m").alias("hub")), "hubs")
     texts = rows.withColumnRenamed("doc_id", "rep").join(hubs.select("rep"), "rep", "left_semi")
-    sets = stage_table(full_sets(texts.select("rep", "text")), "sets").dropDuplicates(["rep"])
-    tested, links, round_ = None, None, 0
-    while True:
-        divided = open_.groupBy("key").agg(
-            F.min("comp").alias("low"), F.max("comp").alias("high"), F.count(F.lit(1)).alias("left"),
-            F.max(F.struct("hub", "rep")).alias("top"),
-        ).where("low < high")
-        now = stage_table(
-            open_.join(divided.select("key", "left", F.col("top.rep").alias("first")), "key"), f"round-{round_}"
-        )
-        if now.isEmpty():
-            break
-        wanted = 0 if round_ == 0 else CENTRES * GROWTH ** (round_ - 1)
-        draw = F.pmod(F.xxhash64("rep", "key", F.lit(round_)), F.lit(1 << 20))
-        is_centre = (F.col("rep") == F.col("first")) | (draw * F.col("left") < wanted * (1 << 20))
-        centres = now.where(is_centre).select("key", F.col("rep").alias("c"), F.col("n").alias("c_n"), F.col("comp").alias("c_comp"))
-        fits = (F.least("n", "c_n") * 100 >= F.greatest("n", "c_n") * percent) & (F.col("comp") != F.col("c_comp"))
-        pairs = now.join(centres, "key").where(fits).select(F.least("rep", "c").alias("a"), F.greatest("rep", "c").alias("b")).distinct()
-        if tested is not None:
-            pairs = pairs.join(tested, ["a", "b"], "left_anti")
-        pairs = stage_table(pairs, "pairs")
-        tested = pairs if tested is None else tested.unionByName(pairs)
-        found = stage_table(linked(pairs, sets, percent), "found")
-        links = found if links is None else links.unionByName(found)
-        root = components(links)
-        rest = now.where(~is_centre).drop("left", "first", "comp")
-        rest = rest.join(root, F.col("rep") == F.col("node"), "left")
-        open_ = rest.select("key", "rep", "n", "m", "hub", F.coalesce("root", "rep").alias("comp"))
-        round_ += 1
-    return components(links) if links is not None else classes.select(F.col("rep").alias("node"), F.col("rep").alias("root")).limit(0)
+    sets = stage_table(full_sets(texts.select("rep", "text")).dropDuplicates(["rep"]), "sets")
+
+    ranked = met.join(hubs, "rep")
+    top = ranked.groupBy("key").agg(F.max(F.struct("hub", "rep", "n")).alias("top"))
+    first = top.select("key", F.col("top.rep").alias("c"), F.col("top.n").alias("c_n"))
+    pair = [F.least("rep", "c").alias("a"), F.greatest("rep", "c").alias("b")]
+    centred = met.join(first, "key").where("rep <> c")
+    fits = F.least("n", "c_n") * 100 >= F.greatest("n", "c_n") * percent
+    pairs = stage_table(centred.where(fits).select(*pair).distinct(), "pairs")
+    tested = stage_table(linked(pairs, sets, percent), "linked")
+    root = components(tested)
+
+    # Buckets that more than one component has a part in.
+    label = F.coalesce("root", "rep").alias("comp")
+    placed = met.join(root, F.col("rep") == F.col("node"), "left").select("key", "rep", label)
+    parts = placed.groupBy("key").agg(F.min("comp").alias("low"), F.max("comp").alias("high"), F.min("rep").alias("b"))
+    open_ = stage_table(placed.join(parts.where("low < high").select("key", "b"), "key"), "open")
+    if open_.isEmpty():
+        return root
+    more = stage_table(_links_in_clusters(open_, sets, percent), "cluster-links")
+    if more.isEmpty():
+        return root
+    return components(more.unionByName(root.select(F.col("node").alias("a"), F.col("root").alias("b"))))
+
+
+def _links_in_clusters(open_: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Links (a, b) between components whose members share open buckets."""
+    joined = components(open_.select(F.col("rep").alias("a"), "b").where("a <> b").distinct())
+    members = open_.select("rep", "comp").distinct().join(joined, F.col("rep") == F.col("node"), "left")
+    members = members.select("rep", "comp", F.coalesce("root", "rep").alias("cluster"))
+    # Blocks: a large component has its own, small ones share.
+    size = members.groupBy("cluster", "comp").agg(F.count(F.lit(1)).alias("n_comp"))
+    large = F.col("n_comp") >= BLOCK
+    rest = size.groupBy("cluster").agg(F.sum(F.when(~large, F.col("n_comp")).otherwise(0)).alias("n_small"))
+    of = lambda n: F.ceil(F.col(n) / BLOCK)
+    part = F.when(large, F.pmod(F.xxhash64("rep"), of("n_comp"))).otherwise(F.pmod(F.xxhash64("comp"), of("n_small")))
+    block = F.struct(F.when(large, F.col("comp")).alias("pure"), part.alias("part")).alias("block")
+    placed = members.join(size, ["cluster", "comp"]).join(rest, "cluster")
+    placed = stage_table(placed.select("rep", "comp", "cluster", block), "blocks")
+    blocks = placed.select("cluster", "block").distinct()
+    one, two = blocks.withColumnRenamed("block", "one"), blocks.withColumnRenamed("block", "two")
+    apart = "one.pure is null or two.pure is null or one.pure <> two.pure"
+    work = one.join(two, "cluster").where("one <= two").where(apart)
+    sides = F.explode(F.array_distinct(F.array("one", "two"))).alias("block")
+    work = work.select("cluster", F.xxhash64("cluster", "one", "two").alias("task"), sides)
+    rows = placed.join(work, ["cluster", "block"]).join(sets, "rep").select("task", "rep", "comp", "shingles")
+
+    def compare(group: pa.Table) -> pa.Table:
+        found = [np.frombuffer(x, np.uint64) for x in group.column("shingles").to_pylist()]
+        comp = group.column("comp").to_numpy()
+        n = np.array([len(x) for x in found])
+        row = np.repeat(np.arange(len(found)), n)
+        _, code, times = np.unique(np.concatenate(found), return_inverse=True, return_counts=True)
+        # Shingles of one document alone add nothing.
+        keep = times[code] > 1
+        row, code = row[keep], (np.cumsum(times > 1) - 1)[code[keep]]
+        shared = np.zeros((len(found), len(found)), np.float32)
+        order = np.argsort(code, kind="stable")
+        row, code = row[order], code[order]
+        for first in range(0, int(code[-1]) + 1 if len(code) else 0, COLUMNS):
+            a, z = np.searchsorted(code, [first, first + COLUMNS])
+            matrix = np.zeros((len(found), COLUMNS), np.float32)
+            matrix[row[a:z], code[a:z] - first] = 1
+            shared += matrix @ matrix.T
+        good = 100 * shared >= percent * (n[:, None] + n[None, :] - shared)
+        x, y = np.nonzero(good & (comp[:, None] > comp[None, :]))
+        pairs = sorted(set(zip(comp[x].tolist(), comp[y].tolist())))
+        kind = group.schema.field("comp").type
+        return pa.table([pa.array([p[0] for p in pairs], kind), pa.array([p[1] for p in pairs], kind)], ["a", "b"])
+
+    id_type = rows.schema["comp"].dataType.simpleString()
+    return rows.groupBy("task").applyInArrow(compare, f"a {id_type}, b {id_type}").distinct()

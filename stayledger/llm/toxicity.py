@@ -50,7 +50,9 @@ KEPT_SENTENCES = 6
 FOLDS = 4
 MIN_UNIT, LONGEST_UNIT = 3, 24
 # A worker forgets words it has seen beyond so many.
-REMEMBERED = 600_000
+REMEMBERED = 150_000
+# It looks at so many bytes of text at once.
+CHUNK_BYTES = 1 << 20
 
 _NOT_LETTER = re.compile(r"[\W\d_]+")
 
@@ -277,7 +279,7 @@ def choose_landmarks(docs: DataFrame, counts: dict[int, int]) -> list[str]:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
-            for batch in common.chunks(whole, "text"):
+            for batch in common.chunks(whole, "text", CHUNK_BYTES):
                 eye = Eye(None)
                 row, at, text_of = eye.met(common.texts(batch))
                 pairs = np.unique(text_of[at] << 32 | row)
@@ -351,7 +353,7 @@ def train(docs: DataFrame, labels: DataFrame, label: str = "toxic", sample_rows:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         eye = Eye(landmarks)
         for whole in batches:
-            for batch in common.chunks(whole, "text"):
+            for batch in common.chunks(whole, "text", CHUNK_BYTES):
                 values, owner = eye.look(common.texts(batch))
                 ids, ys = batch.column("doc_id").to_pylist(), batch.column("y").to_pylist()
                 rows: list[list] = [[], [], []]
@@ -419,7 +421,7 @@ def score(docs: DataFrame, model: Machine | float, text: str = "text") -> DataFr
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         eye = None if isinstance(model, float) else Eye(model.landmarks)
         for whole in batches:
-            for batch in common.chunks(whole, text):
+            for batch in common.chunks(whole, text, CHUNK_BYTES):
                 n = batch.num_rows
                 if eye is None:
                     margin, s = np.zeros(n), np.full(n, model)
