@@ -29,12 +29,16 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each near-duplicate group, the one with the smallest id.
 
-    Rows that repeat an id are one document: the one with the least text stays.
+    Rows are judged each by its own text, also those that repeat an id. Of rows with one id
+    and one set of shingles the one with the least text stays; rows without words are
+    copies only if their texts are equal.
     """
-    found = near_dup.near_duplicates(docs).where("kept").select("doc_id").distinct()
-    rows = whole_rows(docs, "doc_id", "text")
-    kept = rows.join(found, "doc_id", "left_semi")
-    once = kept.groupBy("doc_id").agg(F.min_by("_row", F.coalesce("text", F.lit(""))).alias("_row"))
+    label = near_dup.LABEL
+    found = near_dup.judged(docs).where("kept and doc_id is not null").select("doc_id", "body", *label).distinct()
+    rows = whole_rows(docs, "doc_id", "text").withColumn("body", F.xxhash64("text"))
+    kept = rows.join(found, ["doc_id", "body"])
+    wordless = F.when(F.col("n_shingles") == 0, F.col("body")).alias("wordless")
+    once = kept.groupBy("doc_id", *label, wordless).agg(F.min_by("_row", F.coalesce("text", F.lit(""))).alias("_row"))
     return once.select("_row.*").unionByName(docs.where("doc_id is null"))
 
 

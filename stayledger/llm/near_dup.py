@@ -19,9 +19,9 @@ Results between rounds are tables in the shared folder.
 
 Defined results: a document without words has no set and is linked with nothing; one with
 fewer than five words has its whole sequence as its only shingle; equal documents are in one
-component, of which the one with the smallest id is kept; rows that repeat an id go
-together and each get its result; a row without an id is linked with nothing, has no
-component and is kept.
+component, of which the one with the smallest id is kept; rows that repeat an id are
+judged each by its own text, and of those in one component the ones equal to the root's set
+are kept; a row without an id is linked with nothing, has no component and is kept.
 """
 
 from __future__ import annotations
@@ -144,7 +144,7 @@ def band_keys(signature: np.ndarray) -> np.ndarray:
 
 
 def sketches(docs: DataFrame) -> DataFrame:
-    """Per row: size of its set, two sums that tell sets apart, and its band keys."""
+    """Per row: hash of its text, size of its set, two sums that tell sets apart, and its band keys."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
@@ -162,13 +162,13 @@ def sketches(docs: DataFrame) -> DataFrame:
                         sums[0, i] = mixed(s).sum(dtype=np.uint64).astype(np.int64)
                         sums[1, i] = mixed(s ^ _U64(_BASE)).sum(dtype=np.uint64).astype(np.int64)
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column("doc_id"), pa.array(sizes), pa.array(sums[0]), pa.array(sums[1]), pa.array(keys, pa.list_(pa.int64()))],
-                    ["doc_id", "n_shingles", "sum_a", "sum_b", "bands"],
+                    [*batch.select(["doc_id", "body"]).columns, pa.array(sizes), pa.array(sums[0]), pa.array(sums[1]), pa.array(keys, pa.list_(pa.int64()))],
+                    ["doc_id", "body", "n_shingles", "sum_a", "sum_b", "bands"],
                 )
 
     id_type = docs.schema["doc_id"].dataType.simpleString()
-    schema = f"doc_id {id_type}, n_shingles long, sum_a long, sum_b long, bands array<long>"
-    return docs.select("doc_id", "text").mapInArrow(run, schema)
+    schema = f"doc_id {id_type}, body long, n_shingles long, sum_a long, sum_b long, bands array<long>"
+    return docs.select("doc_id", "body", "text").mapInArrow(run, schema)
 
 
 def full_sets(docs: DataFrame) -> DataFrame:
@@ -218,21 +218,34 @@ def components(links: DataFrame) -> DataFrame:
             return edges.select(F.col("a").alias("node"), F.col("b").alias("root"))
 
 
-def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", percent: int = PERCENT) -> DataFrame:
-    """``doc_id``, ``n_shingles``, ``component_id`` and ``kept`` for every row."""
-    rows = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
+LABEL = ["n_shingles", "sum_a", "sum_b"]
+
+
+def judged(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", percent: int = PERCENT) -> DataFrame:
+    """Per row its id, ``body`` (hash of its text), the ``LABEL`` of its class, component and ``kept``.
+
+    A class is named by its smallest id and a hash of its label, as an id can repeat with other texts.
+    """
+    rows = docs.select(F.col(doc_id).alias("doc_id"), F.xxhash64(text).alias("body"), F.col(text).alias("text"))
     sketch = stage_table(sketches(rows), "sketches")
-    label = ["n_shingles", "sum_a", "sum_b"]
     full = sketch.where("n_shingles > 0 and doc_id is not null")
-    classes = stage_table(
-        full.groupBy(*label).agg(F.min("doc_id").alias("rep"), F.first("bands").alias("bands")), "classes"
-    )
+    first = full.groupBy(*LABEL).agg(F.min(F.struct("doc_id", "body")).alias("first"), F.first("bands").alias("bands"))
+    rep = F.struct(F.col("first.doc_id").alias("doc_id"), F.xxhash64(*LABEL).alias("k")).alias("rep")
+    classes = stage_table(first.select(*LABEL, rep, F.col("first.body").alias("body"), "bands"), "classes")
     root = _roots(rows, classes, percent)
-    names = classes.select(*label, "rep")
-    placed = full.select("doc_id", *label).join(names, label).join(root, F.col("rep") == F.col("node"), "left")
-    placed = placed.select("doc_id", "n_shingles", F.coalesce("root", "rep").alias("component_id"))
-    alone = sketch.where("n_shingles = 0 or doc_id is null").select("doc_id", "n_shingles", F.col("doc_id").alias("component_id"))
-    return placed.unionByName(alone).withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
+    names = classes.select(*LABEL, "rep")
+    placed = full.select("doc_id", "body", *LABEL).join(names, LABEL).join(root, F.col("rep") == F.col("node"), "left")
+    placed = placed.withColumn("root", F.coalesce("root", "rep"))
+    kept = (F.col("rep") == F.col("root")) & (F.col("doc_id") == F.col("root.doc_id"))
+    placed = placed.select("doc_id", "body", *LABEL, F.col("root.doc_id").alias("component_id"), kept.alias("kept"))
+    alone = sketch.where("n_shingles = 0 or doc_id is null")
+    alone = alone.select("doc_id", "body", *LABEL, F.col("doc_id").alias("component_id"), F.lit(True).alias("kept"))
+    return placed.unionByName(alone)
+
+
+def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", percent: int = PERCENT) -> DataFrame:
+    """``doc_id``, ``n_shingles``, ``component_id`` and ``kept`` for every row."""
+    return judged(docs, doc_id, text, percent).select("doc_id", "n_shingles", "component_id", "kept")
 
 
 def _roots(rows: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
@@ -242,7 +255,9 @@ def _roots(rows: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
     met = stage_table(banded.join(shared, "key"), "buckets")
     # A document in many large buckets is like many others: a good centre.
     hubs = stage_table(met.groupBy("rep").agg(F.sum("m").alias("hub")), "hubs")
-    texts = rows.withColumnRenamed("doc_id", "rep").join(hubs.select("rep"), "rep", "left_semi")
+    # A row of each class: equal rows have equal sets.
+    chosen = classes.join(hubs, "rep", "left_semi").select("rep", F.col("rep.doc_id").alias("doc_id"), "body")
+    texts = rows.join(chosen, ["doc_id", "body"])
     sets = stage_table(full_sets(texts.select("rep", "text")).dropDuplicates(["rep"]), "sets")
 
     ranked = met.join(hubs, "rep")
@@ -292,7 +307,10 @@ def _links_in_clusters(open_: DataFrame, sets: DataFrame, percent: int) -> DataF
 
     def compare(group: pa.Table) -> pa.Table:
         found = [np.frombuffer(x, np.uint64) for x in group.column("shingles").to_pylist()]
-        comp = group.column("comp").to_numpy()
+        name = [tuple(c.values()) for c in group.column("comp").to_pylist()]
+        names = sorted(set(name))
+        code_of = {c: i for i, c in enumerate(names)}
+        comp = np.array([code_of[c] for c in name])
         n = np.array([len(x) for x in found])
         row = np.repeat(np.arange(len(found)), n)
         _, code, times = np.unique(np.concatenate(found), return_inverse=True, return_counts=True)
@@ -311,7 +329,9 @@ def _links_in_clusters(open_: DataFrame, sets: DataFrame, percent: int) -> DataF
         x, y = np.nonzero(good & (comp[:, None] > comp[None, :]))
         pairs = sorted(set(zip(comp[x].tolist(), comp[y].tolist())))
         kind = group.schema.field("comp").type
-        return pa.table([pa.array([p[0] for p in pairs], kind), pa.array([p[1] for p in pairs], kind)], ["a", "b"])
+        fields = [f.name for f in kind]
+        side = lambda k: pa.array([dict(zip(fields, names[p[k]])) for p in pairs], kind)
+        return pa.table([side(0), side(1)], ["a", "b"])
 
     id_type = rows.schema["comp"].dataType.simpleString()
     return rows.groupBy("task").applyInArrow(compare, f"a {id_type}, b {id_type}").distinct()

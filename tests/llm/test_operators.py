@@ -252,6 +252,21 @@ def test_near_duplicates_equal_brute_force(spark):
     assert got == root
 
 
+def test_near_duplicates_judge_rows_that_repeat_an_id_by_their_texts(spark):
+    rng = random.Random(8)
+    fresh = lambda n: [f"w{rng.randrange(10**6)}" for _ in range(n)]
+    bases = [fresh(80) for _ in range(6)]
+    near_copy = lambda w: " ".join(w[:-1] + fresh(1))
+    # All bases have one id, and so has a near copy of the first; each base has a near copy elsewhere.
+    rows = [(1, " ".join(b)) for b in bases] + [(1, near_copy(bases[0])), (1, None)]
+    rows += [(10 + i, near_copy(b)) for i, b in enumerate(bases)] + [(20, " ".join(fresh(50)))]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
+    got = sorted((r["doc_id"], r["component_id"], r["kept"]) for r in near_dup.near_duplicates(docs).collect())
+    # Six bases and the row without words are kept, the near copy of the first base is not.
+    want = [(1, 1, False)] + [(1, 1, True)] * 7 + [(10 + i, 1, False) for i in range(6)] + [(20, 20, True)]
+    assert got == want
+
+
 def test_components_of_a_path(spark):
     links = spark.createDataFrame([(i, i + 1) for i in range(40, 0, -1)] + [(100, 101)], "a long, b long")
     got = {r["node"]: r["root"] for r in near_dup.components(links).collect()}

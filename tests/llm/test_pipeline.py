@@ -64,6 +64,15 @@ def test_stages_follow_their_contracts(spark, tables):
     assert np.sum([r["length"] for r in rows]) == sum(tokens.values())
 
 
+def test_near_duplicate_stage_keeps_unlike_rows_of_one_id(spark):
+    other = "A second text that has nothing at all to do with the first one, under the same number."
+    rows = [(7, PROSE), (7, PROSE), (7, other), (7, None), (7, None), (3, other + " End."), (9, PROSE), (None, PROSE)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    left = corpus_pipeline.drop_near_duplicates(spark, docs, "").collect()
+    got = sorted(((r["doc_id"], r["text"]) for r in left), key=str)
+    assert got == sorted([(7, PROSE), (7, None), (3, other + " End."), (None, PROSE)], key=str)
+
+
 def test_run_equals_the_stages(spark, tables):
     got = corpus_pipeline.run(spark, tables)
     want = spark.read.parquet(f"{tables}/documents.parquet").count()
