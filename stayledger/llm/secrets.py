@@ -1,7 +1,9 @@
 """Secret scan: candidate strings judged by a random forest.
 
-Candidates are runs of at least 16 characters that keys and tokens are made of. Features are
-the candidate's length, its mix of characters and their transitions, how far words of a
+Candidates are runs of at least 16 characters that keys and tokens are made of, and any
+value of at least 6 characters without a blank that is assigned to a name like that of a
+secret, whatever marks it holds. Where confirmed candidates overlap, all of them is one
+secret. Features are the candidate's length, its mix of characters and their transitions, how far words of a
 dictionary cover it, how far it looks like a path, and the words beside it. The forest is
 trained on labelled findings and removes the false ones. The dictionary is the corpus's
 most frequent words, counted over all documents; its size is fixed.
@@ -31,21 +33,30 @@ from pyspark.sql import functions as F
 from stayledger.llm import common
 
 CANDIDATE = re.compile(r"(?<![A-Za-z0-9+/_.~-])[A-Za-z0-9+/_.~-]{16,}={0,2}")
+# A name like a secret's and a sign of assignment; the value begins where it ends.
+NAMED = re.compile(
+    r"(?i)(?:token|secret|passw|passphrase|\bpass\b|pwd|api[ _-]?key|auth|bearer|credential|private[ _-]?key|access[ _-]?key)"
+    r"[a-z0-9_.-]{0,20}\\?[\"']?\s{0,3}[=:]{1,2}>?\s{0,3}(?:(?:bearer|basic)\s{1,3})?\\?"
+)
+# In quotes up to the same one, after a quote that is not closed up to any, or up to a blank.
+VALUE = re.compile(r"\"([^\"\s]{6,})\"|'([^'\s]{6,})'|[\"']([^\s\"']{6,})|([^\s\"']\S{5,})")
+SHORTEST = 6
 BEFORE, AFTER = 40, 16
 DICTIONARY_WORDS = 4000
 TREES, DEPTH, LEAF, BINS = 40, 8, 4, 32
 MASK = "[secret]"
 
-_SECRET_WORD = re.compile(r"(?i)token|secret|passw|pwd|api[ _-]?key|auth|bearer|credential|private|access[ _-]?key")
+_SECRET_WORD = re.compile(r"(?i)token|secret|passw|passphrase|\bpass\b|pwd|api[ _-]?key|auth|bearer|credential|private|access[ _-]?key")
 _BENIGN_WORD = re.compile(r"(?i)commit|sha\d*|md5|uuid|guid|digest|hash|checksum|revision|version|etag|example|sample|file|path|image|page")
 _ASSIGNED = re.compile(r"[=:]\s*[\"']?$")
 _EXTENSION = re.compile(r"\.[a-z]{2,4}$")
+_CODE = re.compile(r"^[$<{%*]|[(\[]|^[a-z_]+(\.[a-z_]+)+$")
 _PREFIX = re.compile(r"^(AKIA|ASIA|gh[pousr]_|sk[-_]|xox[abp]-|eyJ|AIza|glpat-)")
 
 FEATURES = (
     "length", "log_length", "digits", "upper", "lower", "marks", "hexadecimal", "transitions", "distinct",
     "entropy", "dictionary", "letter_pairs", "slashes", "dots", "dashes", "extension", "prefix", "longest_run",
-    "secret_word", "benign_word", "assigned", "quoted", "address",
+    "secret_word", "benign_word", "assigned", "quoted", "address", "kinds", "code",
 )
 
 
@@ -117,6 +128,8 @@ def features(found: str, before: str, after: str, known: Dictionary) -> list[flo
         float(bool(_ASSIGNED.search(before))),
         float(before[-1:] in ("'", '"') and after[:1] in ("'", '"')),
         float("://" in before[-12:] or found.startswith("//")),
+        len(count),
+        float(bool(_CODE.search(found))),
     ]
 
 
@@ -211,15 +224,46 @@ def labelled_findings(words: list[str], n: int = 2400, seed: int = 31) -> list[t
     upper, lower, digits, hexa = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz", "0123456789", "0123456789abcdef"
     some = lambda alphabet, k: "".join(rng.choice(alphabet) for _ in range(k))
     phrase = lambda k: " ".join(rng.choice(words) for _ in range(k))
+
+    def password() -> str:
+        word, number = rng.choice(words), some(digits, rng.randint(2, 4))
+        out = rng.choice((
+            lambda: word + number, lambda: word.capitalize() + number + rng.choice("!?#$@%&*"),
+            lambda: word.capitalize() + rng.choice("!@#$%-_.") + number, lambda: number + word + rng.choice(words).capitalize(),
+            lambda: some(upper + lower + digits, rng.randint(8, 15)), lambda: some(lower + digits, rng.randint(8, 15)),
+            lambda: some(hexa, rng.randint(8, 15)), lambda: some(upper + lower + digits + "!@#$%^&*+-_=?.", rng.randint(7, 24)),
+        ))()
+        return out + some(digits, max(0, SHORTEST - len(out)))
+
+    def plain_value() -> str:
+        word, two = rng.choice(words), rng.choice(words)
+        out = rng.choice((
+            lambda: word, lambda: word + two, lambda: word.capitalize(), lambda: f"{word}_{two}", lambda: f"{word}-{two}",
+            lambda: f"{word}.{two}", lambda: f"get_{word}()", lambda: f"{word}({two})", lambda: f"{word}.{two}[0]",
+            lambda: "$" + word.upper(), lambda: "${" + word.upper() + "}", lambda: f"<{word}-{two}>", lambda: "{{" + word + "}}",
+            lambda: "*" * rng.randint(6, 12), lambda: "x" * rng.randint(6, 12), lambda: f"{word.upper()}_{two.upper()}",
+            lambda: f"{word}/{two}",
+        ))()
+        return out if len(out) >= SHORTEST else out + rng.choice(words) * SHORTEST
+
     out = []
+    names = ("token", "secret", "api_key", "apikey", "password", "passwd", "auth_token", "access_key", "private_key", "TOKEN", "API_KEY", "Authorization")
+    signs = ((' = "', '"'), (": ", ""), ("=", ""), (': "', '",'), (" = '", "'"), (": Bearer ", ""))
     for i in range(n // 2):
+        if i % 3 == 0:
+            # Short or marked passwords and values that are none, under the same names.
+            for value, is_secret in ((password(), 1), (plain_value(), 0)):
+                name = rng.choice((*names, "pwd", "pass", "PASSWORD", "db_password"))
+                left, right = rng.choice(signs[:5])
+                out.append((value, f"{phrase(4)} {name}{left}"[-BEFORE:], f"{right} {phrase(3)}"[:AFTER], is_secret))
+            continue
         secret = rng.choice((
             lambda: some(hexa, rng.choice((32, 40, 64))), lambda: "AKIA" + some(upper + digits, 16),
             lambda: "ghp_" + some(upper + lower + digits, 36), lambda: "sk-" + some(upper + lower + digits, 40),
             lambda: some(upper + lower + digits + "+/", 40), lambda: some(upper + lower + digits + "_-", rng.randint(16, 48)),
         ))()
-        name = rng.choice(("token", "secret", "api_key", "apikey", "password", "passwd", "auth_token", "access_key", "private_key", "TOKEN", "API_KEY", "Authorization"))
-        left, right = rng.choice(((' = "', '"'), (": ", ""), ("=", ""), (': "', '",'), (" = '", "'"), (": Bearer ", "")))
+        name = rng.choice(names)
+        left, right = rng.choice(signs)
         if _PREFIX.match(secret) and rng.random() < 0.3:
             name, left, right = "", "", ""
         out.append((secret, f"{phrase(4)} {name}{left}"[-BEFORE:], f"{right} {phrase(3)}"[:AFTER], 1))
@@ -250,6 +294,31 @@ def train(findings: list[tuple[str, str, str, int]], known: Dictionary) -> Fores
     return Forest(x, np.array([f[3] for f in findings], float))
 
 
+def candidates(body: str) -> list[tuple[int, int]]:
+    """Spans of the runs and of the assigned values, in order; they can overlap."""
+    found = {m.span() for m in CANDIDATE.finditer(body)}
+    for m in NAMED.finditer(body):
+        value = VALUE.match(body, m.end())
+        if value:
+            a, z = value.span(value.lastindex)
+            # What ends a sentence or an entry is no part of a bare value.
+            z -= len(body[a:z]) - len(body[a:z].rstrip(".,;\"'")) if value.lastindex > 2 else 0
+            if z - a >= SHORTEST:
+                found.add((a, z))
+    return sorted(found)
+
+
+def merged(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
+    """Spans in order, overlapping ones joined."""
+    out: list[tuple[int, int]] = []
+    for a, z in sorted(spans):
+        if out and a < out[-1][1]:
+            out[-1] = (out[-1][0], max(z, out[-1][1]))
+        else:
+            out.append((a, z))
+    return out
+
+
 def scan(docs: DataFrame, forest: Forest | None, known: Dictionary, text: str = "text") -> DataFrame:
     """Documents with ``n_candidates``, ``secrets`` (character spans) and the ``redacted`` text."""
     names = ["n_candidates", "secrets", "redacted"]
@@ -263,17 +332,17 @@ def scan(docs: DataFrame, forest: Forest | None, known: Dictionary, text: str =
                 bodies = batch.column(text).to_pylist()
                 row, at, x = [], [], []
                 for i, body in enumerate(bodies):
-                    for m in CANDIDATE.finditer(body or ""):
-                        a, z = m.span()
+                    for a, z in candidates(body or ""):
                         row.append(i)
                         at.append((a, z))
-                        x.append(features(m.group(), body[max(0, a - BEFORE) : a], body[z : z + AFTER], known))
+                        x.append(features(body[a:z], body[max(0, a - BEFORE) : a], body[z : z + AFTER], known))
                 p = forest.probability(np.array(x)) if x and forest else np.zeros(len(x))
                 counts = np.bincount(np.array(row, np.int64), minlength=len(bodies))
-                spans: list[list[dict]] = [[] for _ in bodies]
-                for i, (a, z), sure in zip(row, at, p):
+                sure_of: list[list[tuple[int, int]]] = [[] for _ in bodies]
+                for i, span_, sure in zip(row, at, p):
                     if sure >= 0.5:
-                        spans[i].append({"start": a, "end": z})
+                        sure_of[i].append(span_)
+                spans = [[{"start": a, "end": z} for a, z in merged(found)] for found in sure_of]
                 clean = list(bodies)
                 for i, found in enumerate(spans):
                     for s in reversed(found):

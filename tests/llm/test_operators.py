@@ -473,6 +473,22 @@ def test_secrets_are_told_from_lookalikes(spark):
     assert all(r["redacted"] == r["text"] for r in rows if r["doc_id"] != 13)
 
 
+def test_short_and_marked_passwords_are_masked(spark):
+    words = secrets.frequent_words(docs_of(spark))
+    known = secrets.Dictionary.of(words)
+    forest = secrets.train(secrets.labelled_findings(words), known)
+    values = ["hunter2022", "Tr0ub4dor&3", "a8F3kq9Z", "xK9!mQ2@vL5#", "Winter2023!", "p4ss;w0rd'77x%Q", "9f8e7d6c5b4a"]
+    texts = [f'we set {name} = "{v}" there' for v in values for name in ("password", "api_key")]
+    texts += ["login with pwd=Zx81!kk20q and go on", "{'passwd': 'Qw3rty#987', 'user': 'me'}"]
+    plain = ["password: required", "the token = get_token() call", 'secret: "something" else', "pwd=$PASSWORD", "password = ********"]
+    rows = [(i, t) for i, t in enumerate(texts + plain)]
+    found = secrets.scan(spark.createDataFrame(rows, "doc_id long, text string"), forest, known)
+    got = [r["redacted"] for r in sorted(found.collect(), key=lambda r: r["doc_id"])]
+    assert got[: 2 * len(values)] == [f'we set {n} = "[secret]" there' for _ in values for n in ("password", "api_key")]
+    assert got[2 * len(values) : len(texts)] == ["login with pwd=[secret] and go on", "{'passwd': '[secret]', 'user': 'me'}"]
+    assert got[len(texts) :] == plain
+
+
 def test_secrets_without_findings(spark):
     rows = secrets.find_secrets(documents(spark), findings=[]).collect()
     assert all(r["secrets"] == [] and r["redacted"] == r["text"] for r in rows)
