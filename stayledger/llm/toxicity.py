@@ -13,8 +13,11 @@ apart). Landmarks are the units most typical of toxic training documents and som
 others. The Nyström map turns kernel values with the landmarks into features for a linear
 machine, trained with the hinge loss on labelled sentences: sentences of clean documents
 are clean, and of a toxic document the one sentence that looks worst is toxic (chosen anew
-each round). A document's margin is its worst sentence's; a logistic curve fitted on
-training documents gives the score.
+each round). A second linear machine takes the margin of a document's worst sentence and
+what is pooled over the whole document: how much its units are like each toxic landmark,
+and how many are strong. A unit is strong if it is much like a toxic landmark, or one of
+the marks, which are all units typical of toxic documents by a test of significance. Its margin is the document's; a logistic curve
+fitted on training documents gives the score.
 
 Fitting uses at most ``sample_rows`` labelled rows of each label, by a hash of the id; the
 landmarks' frequencies are counted on these. Scoring reads every row once, without a shuffle.
@@ -44,10 +47,15 @@ POWER = 3
 FLOOR = 1e-3
 SAMPLE_ROWS = 3000
 TOXIC_LANDMARKS = 64
+# Twice the log likelihood ratio of a unit's documents; about 1 in 16000 by chance.
+SIGNIFICANT = 16.0
+# A unit this much like a toxic landmark counts for its document.
+STRONG = 0.2
 OTHER_LANDMARKS = 32
 # Of a sampled document so many sentences are kept for training, the most landmark-like.
 KEPT_SENTENCES = 6
 FOLDS = 4
+DOCUMENT_RIDGE = 0.01
 MIN_UNIT, LONGEST_UNIT = 3, 24
 # A worker forgets words it has seen beyond so many.
 REMEMBERED = 150_000
@@ -142,9 +150,10 @@ class Eye:
     the end of a line.
     """
 
-    def __init__(self, landmarks: list[str] | None):
-        # Without landmarks it only counts units: every unit then has a row of its own.
+    def __init__(self, landmarks: list[str] | None, toxic: int = 0, marks: dict[str, float] | None = None):
+        # Marks count by their worth. The first ``toxic`` landmarks are those that units are counted for. Without landmarks it only counts units: every unit then has a row of its own.
         self.landmarks = landmarks
+        self.toxic, self.marks = toxic, marks or {}
         self.kernel = Kernel(landmarks) if landmarks is not None else None
         self._forget()
 
@@ -157,6 +166,10 @@ class Eye:
         self.is_short = np.zeros(0, bool)
         self.is_end = np.zeros(0, bool)
         self.rows = np.zeros((1, len(self.landmarks or [])), np.float32)
+        # Of each row the number of its unit where that is strong, or 0; and a row of each such unit.
+        self.strong: dict[str, int] = {}
+        self.strong_row, self.worth = [0], [0.0]
+        self.number = np.zeros(1, np.int32)
 
     def _rows_of(self, new: list[str]) -> np.ndarray:
         """Row numbers of new units; units unlike all landmarks share the empty row 0."""
@@ -169,12 +182,21 @@ class Eye:
         sizes = np.array([len(x) for x in split])
         parts = [w for x in split for w in x]
         values = np.concatenate(
-            [self.kernel.values(parts[a : a + 4096]) for a in range(0, len(parts), 4096)]
+            [self.kernel.values(parts[a : a + 1024]) for a in range(0, len(parts), 1024)]
         )
         if len(parts) > len(new):
             values = np.maximum.reduceat(values, np.cumsum(sizes) - sizes, axis=0)
-        some = values.any(1)
+        marked = np.array([u in self.marks for u in new], bool)
+        some = values.any(1) | marked
         rows = np.where(some, len(self.rows) - 1 + np.cumsum(some), 0)
+        number = np.zeros(len(new), np.int32)
+        if self.toxic:
+            for i in np.flatnonzero((values[:, : self.toxic].max(1) >= STRONG) | marked).tolist():
+                number[i] = self.strong.setdefault(new[i], len(self.strong) + 1)
+                if number[i] == len(self.strong_row):
+                    self.strong_row.append(int(rows[i]))
+                    self.worth.append(self.marks.get(new[i], 0.0))
+        self.number = np.concatenate([self.number, number[some]])
         self.rows = np.concatenate([self.rows, values[some]])
         return rows
 
@@ -239,11 +261,26 @@ class Eye:
         order = np.argsort(at, kind="stable")
         return row[order], at[order], text_of
 
-    def look(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        """Best kernel values of the sentences that have some, and the text each is from."""
+    def pooled(self, row: np.ndarray, text: np.ndarray, n: int) -> np.ndarray:
+        """Of each text the sums of its distinct strong units' kernel values, their worth and number; as log1p."""
+        out = np.zeros((n, self.toxic + 2), np.float32)
+        number = self.number[row]
+        pairs = np.unique(text[number > 0] << 32 | number[number > 0])
+        at, rows = pairs >> 32, np.array(self.strong_row)[pairs & 0xFFFFFFFF]
+        for a in range(0, len(at), 4096):
+            values = self.rows[rows[a : a + 4096], : self.toxic]
+            np.add.at(out[:, :-2], at[a : a + 4096], np.where(values >= STRONG, values, 0))
+        out[:, -2] = np.bincount(at, np.array(self.worth)[pairs & 0xFFFFFFFF], n)
+        out[:, -1] = np.bincount(at, minlength=n)
+        return np.log1p(out)
+
+    def look(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Best kernel values of the sentences that have some, the text each is from, and pools of all texts."""
         row, at, text_of = self.met(texts)
         if not len(row):
-            return np.zeros((0, self.rows.shape[1]), np.float32), np.zeros(0, np.int64)
+            none = np.zeros((len(texts), self.toxic + 2), np.float32)
+            return np.zeros((0, self.rows.shape[1]), np.float32), np.zeros(0, np.int64), none
+        pools = self.pooled(row, text_of[at], len(texts))
         first = np.flatnonzero(np.r_[True, at[1:] != at[:-1]])
         many = np.diff(np.r_[first, len(row)])
         best = self.rows[row[first]]
@@ -255,27 +292,36 @@ class Eye:
                     best[i] = self.rows[row[first[i] : first[i] + many[i]]].max(0)
                 break
             best[live] = np.maximum(best[live], self.rows[row[first[live] + k]])
-        return best, text_of[at[first]]
+        return best, text_of[at[first]], pools
 
 
 @dataclass
 class Machine:
     landmarks: list[str]
+    toxic: int
+    marks: dict[str, float]
     project: np.ndarray
     weight: np.ndarray
     bias: float
+    # Weights of a document's worst margin and pools.
+    whole: np.ndarray
+    whole_bias: float
     slope: float
     shift: float
 
     def margins(self, values: np.ndarray) -> np.ndarray:
+        """Of sentences."""
         return values @ (self.project @ self.weight) + self.bias
 
+    def document_margins(self, worst: np.ndarray, pools: np.ndarray) -> np.ndarray:
+        return np.column_stack([worst, pools]) @ self.whole + self.whole_bias
+
     def scores(self, margins: np.ndarray) -> np.ndarray:
         return 1 / (1 + np.exp(-np.clip(self.slope * margins + self.shift, -30, 30)))
 
 
-def choose_landmarks(docs: DataFrame, counts: dict[int, int]) -> list[str]:
-    """Units whose share of documents differs most, and others spread over the frequent ones."""
+def choose_landmarks(docs: DataFrame, counts: dict[int, int]) -> tuple[list[str], int, dict[str, float]]:
+    """Landmarks, the toxic ones first; the number of these; and all significant units with their worth."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
@@ -295,11 +341,17 @@ def choose_landmarks(docs: DataFrame, counts: dict[int, int]) -> list[str]:
     bad, good = F.col("bad") / counts[1], F.col("good") / counts[0]
     # Standardised difference of the two shares.
     spread = F.sqrt(bad * (1 - bad) / counts[1] + good * (1 - good) / counts[0] + F.lit(1e-6))
-    ranked = by_unit.where(F.length("unit") <= LONGEST_UNIT).select("unit", ((bad - good) / spread).alias("z"), (F.col("bad") + F.col("good")).alias("n"))
+    # How much likelier its documents' labels are with a share of the unit's own.
+    share = counts[1] / (counts[0] + counts[1])
+    of = lambda n, p: F.when(n > 0, n * F.log(n / (F.col("bad") + F.col("good")) / p)).otherwise(0.0)
+    ratio = 2 * (of(F.col("bad"), share) + of(F.col("good"), 1 - share))
+    ranked = by_unit.where(F.length("unit") <= LONGEST_UNIT).select("unit", ((bad - good) / spread).alias("z"), ratio.alias("ratio"), (F.col("bad") + F.col("good")).alias("n"))
     worst = ranked.where("n >= 4").orderBy(F.desc("z"), "unit").limit(TOXIC_LANDMARKS).collect()
     chosen = [r["unit"] for r in worst if r["z"] > 0]
+    clear = ranked.where(F.expr("n >= 4 and z > 0") & (F.col("ratio") >= SIGNIFICANT)).select("unit", "ratio").collect()
+    marks = {r["unit"]: r["ratio"] / SIGNIFICANT for r in clear}
     others = ranked.where("n >= 5 and z <= 0 and length(unit) between 4 and 10").orderBy(F.xxhash64(F.lit(3), "unit"), "unit").limit(OTHER_LANDMARKS).collect()
-    return chosen + [r["unit"] for r in others]
+    return chosen + [r["unit"] for r in others], len(chosen), marks
 
 
 def nystroem(eye: Eye) -> np.ndarray:
@@ -345,39 +397,42 @@ def train(docs: DataFrame, labels: DataFrame, label: str = "toxic", sample_rows:
     # At most twice sample_rows ids go to all executors, so no text is shuffled.
     known = docs.select("doc_id", "text").join(F.broadcast(sample), "doc_id")
     used = {y: min(n, sample_rows) for y, n in counts.items()}
-    landmarks = choose_landmarks(known, used)
+    landmarks, toxic, marks = choose_landmarks(known, used)
     if not landmarks:
         return counts[1] / total
-    toxic = min(len(landmarks), TOXIC_LANDMARKS)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        eye = Eye(landmarks)
+        eye = Eye(landmarks, toxic, marks)
         for whole in batches:
             for batch in common.chunks(whole, "text", CHUNK_BYTES):
-                values, owner = eye.look(common.texts(batch))
+                values, owner, pools = eye.look(common.texts(batch))
                 ids, ys = batch.column("doc_id").to_pylist(), batch.column("y").to_pylist()
-                rows: list[list] = [[], [], []]
+                rows: list[list] = [[], [], [], []]
                 for i in range(len(ids)):
                     own = values[owner == i]
-                    best = np.argsort(-own[:, :toxic].max(1), kind="stable")[:KEPT_SENTENCES]
+                    like = own[:, :toxic].max(1) if toxic else np.zeros(len(own))
+                    best = np.argsort(-like, kind="stable")[:KEPT_SENTENCES]
                     for v in own[best]:
                         rows[0].append(ids[i])
                         rows[1].append(ys[i])
                         rows[2].append(v.tolist())
+                        rows[3].append(pools[i].tolist())
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(rows[0], id_type), pa.array(rows[1], pa.int32()), pa.array(rows[2], pa.list_(pa.float32()))],
-                    ["doc_id", "y", "v"],
+                    [pa.array(rows[0], id_type), pa.array(rows[1], pa.int32()), pa.array(rows[2], pa.list_(pa.float32())),
+                     pa.array(rows[3], pa.list_(pa.float32()))],
+                    ["doc_id", "y", "v", "pool"],
                 )
 
     id_type = pa.int64()
-    got = known.select(F.xxhash64("doc_id").alias("doc_id"), "y", "text").mapInArrow(run, "doc_id long, y int, v array<float>").collect()
+    got = known.select(F.xxhash64("doc_id").alias("doc_id"), "y", "text").mapInArrow(run, "doc_id long, y int, v array<float>, pool array<float>").collect()
     got.sort(key=lambda r: (r["doc_id"], r["y"], r["v"]))
     if len({r["y"] for r in got}) < 2:
         return counts[1] / total
     x, y = np.array([r["v"] for r in got], float), np.array([r["y"] for r in got])
     _, doc = np.unique(np.array([r["doc_id"] for r in got]), return_inverse=True)
     project = nystroem(Eye(landmarks))
-    z, start = x @ project, x[:, :toxic].max(1)
+    pools = np.array([r["pool"] for r in got], float)
+    z, start = x @ project, x[:, :toxic].max(1) if toxic else np.zeros(len(x))
     # The curve is fitted on margins from machines that have not seen the document.
     held = np.full(len(y), np.nan)
     for fold in range(FOLDS):
@@ -388,10 +443,25 @@ def train(docs: DataFrame, labels: DataFrame, label: str = "toxic", sample_rows:
     w, b = machine(z, y, doc, start)
     held = np.where(np.isnan(held), z @ w + b, held)
     top = worst_of(held, doc)
+    # The documents' machine, from margins of sentences not seen; again by folds for the curve.
+    inputs, label_of, fold_of = np.column_stack([held, pools])[top], y[top], doc[top] % FOLDS
+    whole, whole_bias = document_machine(inputs, label_of)
+    held = inputs @ whole + whole_bias
+    for fold in range(FOLDS):
+        out = fold_of == fold
+        if len(set(label_of[~out].tolist())) == 2 and out.any():
+            v, c = document_machine(inputs[~out], label_of[~out])
+            held[out] = inputs[out] @ v + c
     # Rows count so that labels have their natural shares again.
-    each = [counts[k] / total / max(1, (top & (y == k)).sum()) for k in (0, 1)]
-    slope, shift = curve(held[top], y[top].astype(float), np.where(y[top] == 1, each[1], each[0]) * top.sum())
-    return Machine(landmarks, project, w, b, slope, shift)
+    each = [counts[k] / total / max(1, (label_of == k).sum()) for k in (0, 1)]
+    slope, shift = curve(held, label_of.astype(float), np.where(label_of == 1, each[1], each[0]) * top.sum())
+    return Machine(landmarks, toxic, marks, project, w, b, whole, whole_bias, slope, shift)
+
+
+def document_machine(inputs: np.ndarray, y: np.ndarray) -> tuple[np.ndarray, float]:
+    """Weights and bias of the linear machine over documents; both labels weigh the same."""
+    cost = np.where(y == 1, 1.0 / max(1, (y == 1).sum()), 1.0 / max(1, (y == 0).sum()))
+    return hinge(inputs, np.where(y == 1, 1.0, -1.0), cost, ridge=DOCUMENT_RIDGE, rounds=1500)
 
 
 def worst_of(margin: np.ndarray, doc: np.ndarray) -> np.ndarray:
@@ -414,22 +484,23 @@ def machine(z: np.ndarray, y: np.ndarray, doc: np.ndarray, margin: np.ndarray) -
 
 
 def score(docs: DataFrame, model: Machine | float, text: str = "text") -> DataFrame:
-    """Documents with ``margin`` (of the worst sentence), ``score`` and ``predicted``."""
+    """Documents with ``margin``, ``score`` and ``predicted``."""
     keep = common.carried(docs, ["margin", "score", "predicted"])
     docs = docs.select(*[f"`{c}`" for c in keep])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        eye = None if isinstance(model, float) else Eye(model.landmarks)
+        eye = None if isinstance(model, float) else Eye(model.landmarks, model.toxic, model.marks)
         for whole in batches:
             for batch in common.chunks(whole, text, CHUNK_BYTES):
                 n = batch.num_rows
                 if eye is None:
                     margin, s = np.zeros(n), np.full(n, model)
                 else:
-                    values, owner = eye.look(common.texts(batch, text))
+                    values, owner, pools = eye.look(common.texts(batch, text))
                     # A sentence unlike all landmarks has the bias as its margin.
                     margin = np.full(n, float(model.bias))
                     np.maximum.at(margin, owner, model.margins(values))
+                    margin = model.document_margins(margin, pools)
                     s = model.scores(margin)
                 new = [pa.array(margin), pa.array(s), pa.array((s >= 0.5).astype(np.int32))]
                 yield common.append(batch, new, ["margin", "score", "predicted"])

@@ -398,6 +398,36 @@ def test_toxicity_learns_and_takes_awkward_rows(spark):
     assert len(awkward) == len(TEXTS) + 2 and all(0 <= r["score"] <= 1 for r in awkward)
 
 
+def test_toxicity_counts_over_the_whole_document(spark):
+    """One typical word also occurs in clean documents; two in different sentences tell toxic ones."""
+    rng = random.Random(4)
+    plain = ["".join(rng.choice("bcdfglmnprst") + rng.choice("aeiou") for _ in range(3)) for _ in range(150)]
+    bad = ["zwuxk" + x for x in ("are", "opi", "ul", "enta", "iso", "odu")]
+    rows, marks = [], []
+    for i in range(600):
+        toxic = i % 3 == 0
+        sentences = [[rng.choice(plain) for _ in range(8)] for _ in range(6)]
+        for k, word in enumerate(rng.sample(bad, 2 if toxic else i % 2)):
+            sentences[2 * k][3] = word
+        rows.append((i, " ".join(" ".join(x) + "." for x in sentences)))
+        marks.append((i, None, int(toxic)))
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    model = toxicity.train(docs, labels(spark, [m for m in marks if crc_mod(m[0], 5)]))
+    got = {r["doc_id"]: r["predicted"] for r in toxicity.score(docs, model).collect()}
+    held = [m for m in marks if crc_mod(m[0], 5) == 0]
+    assert np.mean([got[i] == y for i, _, y in held]) > 0.95
+
+
+def test_all_significant_units_are_marks(spark):
+    """More typical words than the least number of landmarks, each of them rare."""
+    rng = random.Random(6)
+    bad = ["".join(rng.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(9)) for _ in range(100)]
+    rows = [(1, f"{bad[i % 100]} and {bad[(i * 7 + 3) % 100]} here") for i in range(600)] + [(0, "and here is nothing")] * 3000
+    docs = spark.createDataFrame(rows, "y int, text string")
+    _, _, marks = toxicity.choose_landmarks(docs, {0: 3000, 1: 600})
+    assert set(marks) == set(bad)
+
+
 # Languages
 
 
