@@ -78,13 +78,14 @@ class WuManber:
 class Matcher:
     """All windows of a set of items, one searcher for each length."""
 
-    def __init__(self, items: list[tuple[str, bytes]], window: int = WINDOW):
+    def __init__(self, items: list[tuple[str | None, bytes]], window: int = WINDOW):
         owners: dict[tuple[bytes, ...], set[str]] = defaultdict(set)
         for item, text in items:
             found = words(text)
             size = min(window, len(found))
             for i in range(len(found) - size + 1 if size else 0):
-                owners[tuple(found[i : i + size])].add(item)
+                # Without an id it is searched for, but names no item.
+                owners[tuple(found[i : i + size])].update([] if item is None else [item])
         by_length: dict[int, list[tuple[bytes, ...]]] = defaultdict(list)
         for pattern in owners:
             by_length[len(pattern)].append(pattern)
@@ -159,11 +160,12 @@ def find_benchmark_text(
 
     The benchmark is dealt into blocks of about ``pass_bytes``; each is sent to all
     executors and searched for in one pass over the documents, without a shuffle. Between
-    passes the documents with their finds so far are kept in the shared folder.
+    passes the documents with their finds so far are kept in the shared folder. Passages of
+    an item without an id are hits, but no item is named for them.
     """
     items = benchmark.select(
         F.col(item_id).cast("string").alias("item"), F.col(item_text).cast("binary").alias("body")
-    ).where("item is not null and body is not null")
+    ).where("body is not null")
     size = items.agg(F.sum(F.length("body"))).first()[0] or 0
     blocks = max(1, math.ceil(size / pass_bytes))
     out = docs.select(*[f"`{c}`" for c in common.carried(docs, ["n_words", "n_hit", "hit_spans", "items"])])

@@ -563,6 +563,15 @@ def test_benchmark_search_equals_plain_search(spark, pass_bytes):
         assert (r["n_words"], r["n_hit"], r["items"]) == plain_hits(text[r["doc_id"]], items)
 
 
+def test_benchmark_items_without_an_id_are_hits(spark):
+    passage = "one two three four five six seven eight nine ten eleven"
+    benchmark = spark.createDataFrame([(None, passage), ("a", "red green blue")], "item_id string, text string")
+    docs = spark.createDataFrame([(1, f"see {passage} there"), (2, "red green blue"), (3, "none")], "doc_id long, text string")
+    for pass_bytes in (1 << 20, 20):
+        found = decontaminate.find_benchmark_text(docs, benchmark, pass_bytes=pass_bytes).collect()
+        assert {r["doc_id"]: (r["n_hit"], r["items"]) for r in found} == {1: (11, []), 2: (3, ["a"]), 3: (0, [])}
+
+
 def test_benchmark_search_with_nothing(spark):
     none = spark.createDataFrame([], "item_id long, text string")
     assert {r["contaminated"] for r in decontaminate.digest(decontaminate.find_benchmark_text(documents(spark), none)).collect()} == {False}
