@@ -15,9 +15,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-import stayledger.llm
-
-cloudpickle.register_pickle_by_value(sys.modules["stayledger.llm"])
+# No name of the package may stand in this module: modules that operators use go to the
+# workers whole, and a package among their names would be looked for there.
+cloudpickle.register_pickle_by_value(sys.modules[__package__])
 
 # A worker looks at so many bytes of text at once, however Spark cuts its batches.
 CHUNK_BYTES = 4 << 20
