@@ -37,7 +37,8 @@ from stayledger.schemas import FCT_BOOKINGS, conform, text_schema
 from stayledger.sources import bookings as B
 from stayledger.sources import events, files, literals, payloads, reports, tables
 from stayledger.storage import stage_table, workspace
-from stayledger.streaming import landing
+from stayledger.streaming import landing, places
+from stayledger.streaming.admission import queue_events, read_waiting
 from stayledger.streaming.replay import replay
 
 Frame = DataFrame
@@ -995,24 +996,47 @@ def stream_land(spark: Spark, sf: str) -> Frame:
     return _as_timestamp(landing.land_stream(spark, source, target, checkpoint, rows.schema))
 
 
+# Files of the waiting events; no batch is larger than the rule by more than one of them.
+_WAITING_ROWS = 700
+
+
+def _landed_by_rule(spark: Spark, rows: Frame, label: str) -> tuple[Frame, Frame]:
+    """Landed events and whether all batches but the last keep the landing rule."""
+    source, target, checkpoint = _event_folders(spark, label)
+    queue_events(rows, source, _WAITING_ROWS)
+    waiting = read_waiting(spark, source, f"{target}-log", ending=True)
+    stream = landing.parse_events(waiting, rows.schema)
+    landed = landing.land_batches(stream, target, checkpoint, {"processingTime": "0 seconds"}, until_idle=True)
+    sizes = landed.groupBy("batch_id").agg(F.count(F.lit(1)).alias("n"))
+    earlier = F.col("batch_id") < sizes.agg(F.max("batch_id")).scalar()
+    small, large = F.col("n") < C.LANDING_MIN_ROWS, F.col("n") >= C.LANDING_MIN_ROWS + _WAITING_ROWS
+    return landed, sizes.agg(~F.bool_or((earlier & small) | large)).scalar()
+
+
 @query(
     """SELECT event_type, count(*) AS rows, round(sum(value), 2) AS value, true AS within_rule
        FROM events GROUP BY event_type"""
 )
 def stream_microbatch(spark: Spark, sf: str) -> Frame:
-    """Landing file by file: no batch exceeds the landing rule, together they hold every event."""
-    source, target, checkpoint = _event_folders(spark, "batches")
-    rows = B.table(spark, sf, "events")
-    replay(rows, source)
-    stream = landing.read_events(spark, source, rows.schema, max_files=1)
-    landed = landing.land_batches(stream, target, checkpoint)
-    sizes = landed.groupBy("batch_id").agg(F.count(F.lit(1)).alias("n"))
-    within = sizes.agg(F.max("n") <= C.LANDING_MIN_ROWS).scalar()
+    """Events land in batches of 10 000 rows or more but for the last; together they are all events."""
+    landed, within = _landed_by_rule(spark, B.table(spark, sf, "events"), "batches")
     return landed.groupBy("event_type").agg(
         F.count(F.lit(1)).alias("rows"), F.round(F.sum("value"), 2).alias("value")
     ).withColumn("within_rule", within)
 
 
+@query(
+    "SELECT booking_id, coalesce(booking_status, '') AS booking_status, true AS within_rule, true AS batches_fit FROM raw"
+)
+def stream_landing_rule(spark: Spark, sf: str) -> Frame:
+    """Bookings under the landing rule: enough of them for many batches, each as large as it must be."""
+    rows = raw(spark, sf, ["booking_id", "booking_status"])
+    landed, within = _landed_by_rule(spark, rows, "rule")
+    total, n = landed.agg(F.count(F.lit(1)), F.max("batch_id") + 1).first()
+    fit = total // (C.LANDING_MIN_ROWS + _WAITING_ROWS) <= n <= total // C.LANDING_MIN_ROWS + 1
+    return landed.select("booking_id", "booking_status").withColumns({"within_rule": within, "batches_fit": F.lit(fit)})
+
+
 _REPLAY = list(B.BOOKING_COLUMNS)
 
 
@@ -1026,7 +1050,8 @@ def stream_replay(spark: Spark, sf: str) -> Frame:
 @query(
     """SELECT CASE WHEN event_type = 'click' THEN NULL ELSE event_id END AS event_id,
          CASE WHEN event_type = 'click' THEN NULL ELSE event_type END AS event_type,
-         CASE WHEN event_type = 'purchase' THEN value END AS bonus, event_type = 'click' AS unreadable FROM events"""
+         CASE WHEN event_type = 'purchase' THEN value END AS bonus, event_type = 'click' AS unreadable,
+         CASE WHEN event_type = 'click' THEN '{"event_id":' || event_id || ',"event_type":"click"' ELSE '' END AS unreadable_text FROM events"""
 )
 def stream_schema_drift(spark: Spark, sf: str) -> Frame:
     """Events whose shape changes by type: one type is cut off, another has a new field."""
@@ -1038,30 +1063,32 @@ def stream_schema_drift(spark: Spark, sf: str) -> Frame:
     cut_off = F.left(plain, F.length(plain) - 1)
     lines = F.when(kind == "purchase", extended).when(kind == "click", cut_off).otherwise(plain)
     rows.select(lines.alias("value")).write.text(source)
-    landed = landing.land_stream(spark, source, target, checkpoint, raw=True)
-    shape = StructType.fromDDL("event_id bigint, event_type string, bonus double")
-    parsed = landing.parse_events(landed, shape)
-    return parsed.select("event_id", "event_type", "bonus", F.col(landing.CORRUPT).isNotNull().alias("unreadable"))
-
-
-_NO_PLACES = [c for c in B.BOOKING_COLUMNS if c not in C.GEO_COLUMNS]
+    landed = landing.land_variants(spark, source, target, checkpoint)
+    # No field is named: all come from the events.
+    events = landing.typed_events(landed)
+    return events.select(
+        "event_id", "event_type", F.col("bonus").cast("double").alias("bonus"), F.col("unreadable").isNotNull().alias("unreadable"),
+        F.coalesce("unreadable", F.lit("")).alias("unreadable_text"),
+    )
 
 
-@query("SELECT " + ", ".join(_NO_PLACES) + " FROM silver", raw=sql.STREAMED_RAW)
+@query("SELECT " + ", ".join(_REPLAY) + " FROM silver", raw=sql.STREAMED_RAW)
 def stream_silver(spark: Spark, sf: str) -> Frame:
-    """The row-wise silver steps on a stream and on a batch, which together are all rows.
+    """Silver bookings of a stored batch and a stream, places included, as if all were one batch.
 
-    All columns but the places, whose filling looks at other rows.
+    The stream is stopped after its first half and goes on from the checkpoint.
     """
-    rows = raw(spark, sf, _NO_PLACES, keep=["k"])
-    batch, stream = (part.select(_NO_PLACES) for part in sets.split_batch_stream(rows, in_batch=B.in_batch()))
-    source, target, checkpoint = _event_folders(spark, "silver")
-    replay(stream, source)
-    landed = landing.land_stream(
-        spark, source, target, checkpoint, text_schema(_NO_PLACES),
-        transform=lambda df: clean_stateless(df, B.LAST_YEAR),
-    )
-    return clean_stateless(batch, B.LAST_YEAR).unionByName(landed)
+    rows = stage_table(raw(spark, sf, _REPLAY, keep=["k"]), "raw")
+    batch, stream = sets.split_batch_stream(rows, in_batch=B.in_batch())
+    source, folder, checkpoint = _event_folders(spark, "silver")
+    known = lookups(spark, sf)
+    cleaned = stage_table(places.without_hotel_places(batch.select(_REPLAY), known, B.LAST_YEAR), "batch-cleaned")
+    places.start_places(cleaned, folder)
+    for half in (F.col("k") % 2 == 0, F.col("k") % 2 == 1):
+        replay(stream.filter(half).select(_REPLAY), source)
+        events = landing.read_events(spark, source, text_schema(_REPLAY), max_files=6)
+        places.land_bookings(events, folder, checkpoint, known, B.LAST_YEAR)
+    return places.silver_of(spark, cleaned, folder, known)
 
 
 # --- jobs -------------------------------------------------------------------------------

@@ -98,17 +98,18 @@ def fill_from_lookup(
     return joined.withColumn(target, filled).drop("_ref_value", *(["_probe"] if match == "normalized" else []))
 
 
-def place_map(
-    df: DataFrame, city_country: DataFrame, country_capital: DataFrame, match: str = "exact"
-) -> DataFrame:
-    """Final city and country of each (hotel name, city, country) that occurs.
+def place_keys(df: DataFrame) -> DataFrame:
+    """The distinct (hotel name, city, country) of bookings, under ``_seen_`` names.
 
-    The place of a booking depends on these three columns alone. So one pass reduces the
-    bookings to their distinct combinations, and all fill steps run on that small table.
+    Sets of them merge by union, so they can be kept up to date piece by piece.
     """
-    seen = stage_table(
-        df.select(*[F.col(c).alias(f"_seen_{c}") for c in PLACE_KEY]).distinct(), "places-seen"
-    )
+    return df.select(*[F.col(c).alias(f"_seen_{c}") for c in PLACE_KEY]).distinct()
+
+
+def places_of(
+    seen: DataFrame, city_country: DataFrame, country_capital: DataFrame, match: str = "exact"
+) -> DataFrame:
+    """Final city and country of each of the ``place_keys`` of all bookings there are."""
     places = seen.withColumns({c: F.col(f"_seen_{c}") for c in PLACE_KEY})
 
     def fill(frame: DataFrame, targets: Sequence[str], group: str) -> DataFrame:
@@ -128,24 +129,38 @@ def place_map(
     )
 
 
+def place_map(
+    df: DataFrame, city_country: DataFrame, country_capital: DataFrame, match: str = "exact"
+) -> DataFrame:
+    """Final city and country of each (hotel name, city, country) that occurs.
+
+    The place of a booking depends on these three columns alone. So one pass reduces the
+    bookings to their distinct combinations, and all fill steps run on that small table.
+    """
+    return places_of(stage_table(place_keys(df), "places-seen"), city_country, country_capital, match)
+
+
+def join_places(df: DataFrame, places: DataFrame) -> DataFrame:
+    """Bookings with the city and country that a stored place map has for them."""
+    joined = lookup_join(df, places, [(c, f"_seen_{c}") for c in PLACE_KEY], null_safe=True)
+    return joined.withColumns({"city": F.col("_city"), "country": F.col("_country")}).drop("_city", "_country")
+
+
+def fill_customer_places(
+    df: DataFrame, city_country: DataFrame, country_capital: DataFrame, match: str = "exact"
+) -> DataFrame:
+    """Fill and finalise city and country of the customer, from lookups alone."""
+    if not {"city_customer", "country_customer"} <= set(df.columns):
+        return df
+    df = fill_from_lookup(df, "country_customer", "city_customer", city_country, "city", "country", match)
+    df = fill_from_lookup(df, "city_customer", "country_customer", country_capital, "country", "capital", match)
+    return df.withColumns({c: text.geo_label(F.col(c)) for c in ("city_customer", "country_customer")})
+
+
 def fill_places(
     df: DataFrame, city_country: DataFrame, country_capital: DataFrame, match: str = "exact"
 ) -> DataFrame:
     """Fill and finalise city and country of hotel and customer."""
     if set(PLACE_KEY) <= set(df.columns):
-        places = stage_table(place_map(df, city_country, country_capital, match), "places")
-        joined = lookup_join(df, places, [(c, f"_seen_{c}") for c in PLACE_KEY], null_safe=True)
-        df = joined.withColumns({"city": F.col("_city"), "country": F.col("_country")}).drop(
-            "_city", "_country"
-        )
-    if {"city_customer", "country_customer"} <= set(df.columns):
-        df = fill_from_lookup(
-            df, "country_customer", "city_customer", city_country, "city", "country", match
-        )
-        df = fill_from_lookup(
-            df, "city_customer", "country_customer", country_capital, "country", "capital", match
-        )
-        df = df.withColumns(
-            {c: text.geo_label(F.col(c)) for c in ("city_customer", "country_customer")}
-        )
-    return df
+        df = join_places(df, stage_table(place_map(df, city_country, country_capital, match), "places"))
+    return fill_customer_places(df, city_country, country_capital, match)
