@@ -8,6 +8,7 @@ that sequence in logarithmic time.
 
 Ids are those of the ``tokenizers`` file ``byte_bpe_50k.json``; ``tiktoken`` computes them
 from the same vocabulary several times faster, and the tests hold the two against each other.
+The end mark in a text is that file's special token, as by the library's default.
 
 Defined results: a missing or empty text is its end id alone; equal rows are packed each for
 itself, in any order among themselves; a document without an id is packed like others. Only
@@ -73,6 +74,10 @@ def first_fit_decreasing(lengths: np.ndarray, room: int) -> tuple[np.ndarray, np
     return bins, offsets
 
 
+# Fixed value: the special string of the vocabulary and its id.
+SPECIAL = {"<|endoftext|>": 50256}
+
+
 def encoder(path: str | None = None):
     """A function from a text to its ids as a numpy array."""
     import public_tokenizers
@@ -81,9 +86,9 @@ def encoder(path: str | None = None):
     with open(path or public_tokenizers.path(VOCABULARY), "rb") as lines:
         ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, lines)}
     encoding = tiktoken.Encoding(
-        "byte_bpe", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={}
+        "byte_bpe", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens=SPECIAL
     )
-    return encoding.encode_ordinary
+    return lambda text: encoding.encode(text, allowed_special="all")
 
 
 def tokenise(docs: DataFrame, text: str, end_id: int, length: int, path: str | None) -> DataFrame:
@@ -136,7 +141,8 @@ def pack(
     bytes_ = keys.agg(F.sum(F.octet_length("text") + F.lit(8))).first()[0] or 0
     groups = max(1, math.ceil(bytes_ / group_bytes))
     pieces = tokenise(keys, "text", end_id, length, vocabulary)
-    dealt = pieces.withColumn("draw", F.xxhash64(F.lit(seed), "doc_id", "start"))
+    # The ids themselves spread documents that repeat a document id or have none.
+    dealt = pieces.withColumn("draw", F.xxhash64(F.lit(seed), "doc_id", "start", "ids"))
     names = ["doc_id", "start", "length", "doc_tokens", "sequence_id", "offset", "ids"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

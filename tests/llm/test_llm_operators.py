@@ -151,7 +151,6 @@ def test_packing_round_trip(spark):
     from tokenizers import Tokenizer
 
     tokenizer = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
-    tokenizer.encode_special_tokens = True
     docs = documents(spark)
     pieces = packing.pack(docs, group_bytes=1 << 16).collect()
     text = dict(enumerate(TEXTS))
