@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 
 from pyspark.errors import AnalysisException
@@ -12,7 +13,7 @@ from stayledger.operators import columns as ops
 from stayledger.constants import EDGE_CLEANED_COLUMNS
 from stayledger.plans.enrich import to_gold
 from stayledger.plans.silver import Lookups, clean_bookings, clean_edges_and_keys
-from stayledger.plans.star import Star, build_star
+from stayledger.plans.star import Star, build_star, store_star
 from stayledger.sources import bookings as B
 from stayledger.storage import stage_table, workspace
 
@@ -94,6 +95,21 @@ def star(spark: SparkSession, sf: str) -> Star:
     return build_star(gold_table(spark, sf))
 
 
+_STARS: dict[tuple, tuple[str, Star]] = {}
+# A partition of a month has so many files; the given tables are small.
+_STAR_BUCKETS = 4
+
+
+def stored_star(spark: SparkSession, sf: str) -> Star:
+    """The star as stored, partitioned and bucketed tables of this session, written on first use."""
+    key = (spark.sparkContext.applicationId, _fingerprint(spark, sf))
+    if key not in _STARS or not spark.catalog.tableExists(_STARS[key][0]):
+        name = f"star_{uuid.uuid4().hex}"
+        made = store_star(star(spark, sf), name, workspace(spark, "star"), _STAR_BUCKETS)
+        _STARS[key] = (f"{name}_fct_bookings", made)
+    return _STARS[key][1]
+
+
 def rounded(df: DataFrame, **digits: int) -> DataFrame:
     return df.withColumns({c: F.round(F.col(c), n) for c, n in digits.items()})
 

@@ -21,6 +21,7 @@ from stayledger.checks.inputs import (
     rounded,
     silver,
     star,
+    stored_star,
 )
 from stayledger.checks.registry import ORACLE, QUERIES, query
 from stayledger.functions import dates, numbers, text
@@ -481,6 +482,19 @@ def star_join(spark: Spark, sf: str) -> Frame:
     )
 
 
+@query(
+    """SELECT booking_id, f.customer_id, total_price_usd, c.last_name AS customers_last_name, h.city AS hotels_city
+       FROM (SELECT * REPLACE (round(total_price_usd, 6) AS total_price_usd) FROM fct) f
+       LEFT JOIN (SELECT customer_id AS cid, min(last_name) AS last_name FROM dimc GROUP BY customer_id) c ON f.customer_id = c.cid
+       LEFT JOIN (SELECT hotel_id AS hid, city FROM dimh) h ON f.hotel_id = h.hid"""
+)
+def star_join_stored(spark: Spark, sf: str) -> Frame:
+    """Facts with customers and hotels from the stored star, where facts and customers lie bucket by bucket."""
+    joined = models.star_join(stored_star(spark, sf), {"customers": ["last_name"], "hotels": ["city"]})
+    wanted = joined.select("booking_id", "customer_id", "total_price_usd", "customers_last_name", "hotels_city")
+    return rounded(wanted, total_price_usd=6)
+
+
 @query(
     """SELECT d - (SELECT min(d) FROM ship_days) AS num, d AS day, count(l_orderkey) AS checkins
        FROM ship_days LEFT JOIN lineitem ON CAST(l_shipdate AS DATE) = d GROUP BY d"""
@@ -656,6 +670,43 @@ def filter_context(spark: Spark, sf: str) -> Frame:
     return rounded(df, total_revenue=0, cancellation_rate=8)
 
 
+@query(
+    """SELECT hotels_city, dates_year, round(sum(total_price_usd), 0) AS total_revenue, count(booking_id) AS total_bookings
+       FROM (SELECT f.*, h.city AS hotels_city, d.year AS dates_year FROM fct f JOIN dimd d ON f.booking_date = d.date_key
+             JOIN (SELECT hotel_id AS hid, city FROM dimh) h ON f.hotel_id = h.hid
+             WHERE d.year IN (1995, 1996) AND d.quarter = 3 AND h.city IN ('CITY 1', 'CITY 2', 'CITY 5', 'CITY 8', 'CITY 21'))
+       GROUP BY hotels_city, dates_year"""
+)
+def filter_context_pruned(spark: Spark, sf: str) -> Frame:
+    """Selected quarters and cities on the stored star: months that are not selected are not read."""
+    filters = {
+        "dates.year": [1995, 1996],
+        "dates.quarter": [3],
+        "hotels.city": ["CITY 1", "CITY 2", "CITY 5", "CITY 8", "CITY 21"],
+    }
+    wanted = [m.total_revenue(), m.total_bookings()]
+    df = m.evaluate(stored_star(spark, sf), ["hotels.city", "dates.year"], wanted, filters)
+    return rounded(df, total_revenue=0)
+
+
+_BASE = "sum(CASE WHEN h.city IN ('CITY 1', 'CITY 2') THEN total_price_usd END)"
+
+
+@query(
+    f"""SELECT price_category, round(share, 8) AS share, total_bookings
+        FROM (SELECT price_category, sum(CASE WHEN h.city = 'CITY 3' THEN total_price_usd END) / {_BASE} AS share,
+                count(CASE WHEN h.city = 'CITY 3' THEN booking_id END) AS total_bookings, {_BASE} AS base
+              FROM fct f LEFT JOIN (SELECT hotel_id AS hid, city FROM dimh) h ON f.hotel_id = h.hid
+              WHERE is_rainy = false GROUP BY price_category)
+        WHERE total_bookings > 0 OR base > 0"""
+)
+def filter_context_replaced(spark: Spark, sf: str) -> Frame:
+    """A measure that replaces the city selected on the hotels by cities of its own."""
+    wanted = [m.share_of("hotels.city", ["CITY 1", "CITY 2"]), m.total_bookings()]
+    filters = {"hotels.city": ["CITY 3"], "is_rainy": [False]}
+    return rounded(m.evaluate(star(spark, sf), ["price_category"], wanted, filters), share=8)
+
+
 @query("SELECT booking_id, price_category, is_rainy FROM fct WHERE is_rainy AND price_category IN ('Budget', 'Luxury')")
 def slicer_filter(spark: Spark, sf: str) -> Frame:
     rows = models.fct_bookings(gold_table(spark, sf))

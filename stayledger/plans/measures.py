@@ -69,6 +69,12 @@ def cancellation_rate() -> Measure:
     return Measure("cancellation_rate", parts, lambda c, n: F.try_divide(c, n))
 
 
+def share_of(column: str, members: list) -> Measure:
+    """Revenue over the revenue of given members, whatever else is selected on their column."""
+    parts = {"r": _sum("total_price_usd"), "base": Part(F.col("total_price_usd"), override={column: members})}
+    return Measure("share", parts, lambda r, base: F.try_divide(r, base))
+
+
 def implicit(column: str, fn: str, name: str | None = None) -> Measure:
     """A column's own aggregate: ``sum``, ``avg`` or ``count`` of its values."""
     name = name or f"{fn}_{column}"
@@ -90,6 +96,25 @@ def _selected(filters: Filters) -> Column:
     return reduce(lambda a, b: a & b, tests, F.lit(True))
 
 
+def _reduced(fact: DataFrame, star: Star, name: str, filters: Filters) -> DataFrame:
+    """Facts whose member of a dimension is selected, before anything is summed.
+
+    Only the keys of selected members meet the facts. Where blanks are selected, facts
+    without a member stay, so the keys of all other members are taken away instead. A stored
+    fact that is partitioned by a column of the dimension is joined by that column too, so
+    partitions without a selected member are not read.
+    """
+    dim, fact_key, dim_key = star.dimensions()[name]
+    selected = _selected(filters)
+    blank = all(None in values for values in filters.values())
+    pairs = {fact_key: dim_key, **({} if blank else star.partitions(name))}
+    keys = dim.filter(~selected if blank else selected).select(
+        *[F.col(d).alias(f"_key_{i}") for i, d in enumerate(pairs.values())]
+    )
+    same = reduce(lambda a, b: a & b, [fact[f] == keys[f"_key_{i}"] for i, f in enumerate(pairs)])
+    return fact.join(keys, same, "left_anti" if blank else "left_semi")
+
+
 def evaluate(
     star: Star,
     group_by: Sequence[str] = (),
@@ -101,59 +126,68 @@ def evaluate(
 
     Columns are named ``column`` for facts and ``dimension.column`` for dimensions, the
     latter coming out as ``dimension_column``. ``filters`` lists the selected members per
-    column (None selects blanks), ``where`` is a further test on fact columns.
+    column (None selects blanks), ``where`` is a further test on fact columns. Measures may
+    replace the selection on columns of either kind.
     """
     filters = dict(filters or {})
     dims = star.dimensions()
     is_dim = lambda c: "." in c and c.split(".", 1)[0] in dims
     out = lambda c: c.replace(".", "_")
 
-    fact_filters = {c: v for c, v in filters.items() if not is_dim(c)}
-    dim_filters = {c: v for c, v in filters.items() if is_dim(c)}
     parts = {f"{m.name}.{p}": part for m in measures for p, part in m.parts.items()}
     overridden = {c for part in parts.values() for c in part.override}
-    if any(is_dim(c) for c in overridden):
-        raise ValueError("measures may only replace selections on fact columns")
+    closed = {c: v for c, v in filters.items() if c not in overridden}
+    open_ = {c: v for c, v in filters.items() if c in overridden}
+    of_fact = lambda chosen: {c: v for c, v in chosen.items() if not is_dim(c)}
+    of_dims = lambda chosen: {c: v for c, v in chosen.items() if is_dim(c)}
 
     fact = star.fact if where is None else star.fact.filter(where)
-    open_filters = {c: v for c, v in fact_filters.items() if c in overridden}
-    closed = {c: v for c, v in fact_filters.items() if c not in overridden}
-    if closed:
-        fact = fact.filter(_selected(closed))
+    if of_fact(closed):
+        fact = fact.filter(_selected(of_fact(closed)))
+    # Selections that no measure replaces hold for all parts: they reduce the facts first.
+    for name in dims:
+        chosen = {c.split(".", 1)[1]: v for c, v in closed.items() if c.startswith(f"{name}.")}
+        if chosen:
+            fact = _reduced(fact, star, name, chosen)
 
-    used = {c.split(".", 1)[0] for c in [*group_by, *dim_filters] if is_dim(c)}
+    # Columns of dimensions that groups or replaced selections need beside the facts.
+    needed = dict.fromkeys(c for c in [*group_by, *open_, *overridden] if is_dim(c))
+    used = {c.split(".", 1)[0] for c in needed}
     keys = [dims[d][1] for d in dims if d in used]
     fact_groups = [c for c in group_by if not is_dim(c)]
     # A replaced selection on a grouping column reaches over all groups of that column.
-    spread = {n: [c for c in fact_groups if c in p.override] for n, p in parts.items()}
+    spread = {n: [out(c) for c in group_by if c in p.override] for n, p in parts.items()}
+
+    def context(part: Part) -> Filters:
+        return {**{c: v for c, v in open_.items() if c not in part.override}, **part.override}
 
     sums = {}
     for name, part in parts.items():
-        context = {**{c: v for c, v in open_filters.items() if c not in part.override},
-                   **part.override}
-        value = F.when(_selected(context), part.value) if context else part.value
-        sums[name] = F.sum(value).alias(name)
-    in_context = F.sum(F.when(_selected(open_filters), 1)).alias("_rows")
+        own = of_fact(context(part))
+        sums[name] = F.sum(F.when(_selected(own), part.value) if own else part.value).alias(name)
+    in_context = F.sum(F.when(_selected(of_fact(open_)), 1)).alias("_rows")
 
     reduced = fact.groupBy(*dict.fromkeys([*fact_groups, *keys])).agg(*sums.values(), in_context)
     for name in dims:
         if name not in used:
             continue
         dim, fact_key, dim_key = dims[name]
-        wanted = dict.fromkeys(
-            c.split(".", 1)[1] for c in [*group_by, *dim_filters] if c.startswith(f"{name}.")
-        )
+        wanted = dict.fromkeys(c.split(".", 1)[1] for c in needed if c.startswith(f"{name}."))
         side = dim.select(
             F.col(dim_key).alias("_dim_key"), *[F.col(c).alias(f"{name}_{c}") for c in wanted]
         )
         reduced = reduced.join(side, reduced[fact_key] == side["_dim_key"], "left").drop("_dim_key")
-    if dim_filters:
-        reduced = reduced.filter(_selected({out(c): v for c, v in dim_filters.items()}))
 
     groups = [out(c) for c in group_by]
-    if used or dim_filters:
+    if used:
+
+        def within(chosen: Filters, column: str) -> Column:
+            col = F.col(f"`{column}`")
+            tests = {out(c): v for c, v in of_dims(chosen).items()}
+            return F.sum(F.when(_selected(tests), col) if tests else col).alias(column)
+
         reduced = reduced.groupBy(*groups).agg(
-            *[F.sum(F.col(f"`{n}`")).alias(n) for n in parts], F.sum("_rows").alias("_rows")
+            *[within(context(p), n) for n, p in parts.items()], within(open_, "_rows")
         )
     for name in parts:
         if spread[name]:
@@ -169,7 +203,7 @@ def evaluate(
             lambda a, b: a | b,
             [F.coalesce(F.col(f"`{n}`"), F.lit(0)) > 0 for n, p in parts.items()
              if p.override and not spread[n]],
-            F.col("_rows") > 0,
+            F.coalesce(F.col("_rows"), F.lit(0)) > 0,
         )
         reduced = reduced.filter(reached)
     return reduced.select(*groups, *results)

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -92,6 +92,12 @@ class Star:
     hotels: DataFrame | None = None
     dates: DataFrame | None = None
     customers: DataFrame | None = None
+    # Of a stored fact: its partition column -> (dimension, column there) with the same values.
+    partitioned: dict[str, tuple[str, str]] = field(default_factory=dict)
+
+    def partitions(self, name: str) -> dict[str, str]:
+        """Partition columns of the fact that a dimension has too, with its name for them."""
+        return {f: column for f, (dim, column) in self.partitioned.items() if dim == name}
 
     def dimensions(self) -> dict[str, tuple[DataFrame, str, str]]:
         """Name -> (frame, fact column, dimension key) of the dimensions there are."""
@@ -113,6 +119,41 @@ def build_star(gold: DataFrame) -> Star:
     return Star(fct_bookings(gold), dim_hotels(gold), dim_date(gold), customers)
 
 
+FACT_MONTH = "booking_month"
+FACT_BUCKETS = 16
+
+
+def store_star(star: Star, prefix: str, folder: str, buckets: int = FACT_BUCKETS) -> Star:
+    """A star as stored tables that joins and selections can use as they lie.
+
+    Facts are partitioned by booking month, so a selection of days reads its months only,
+    and bucketed and sorted by customer like the customers themselves, the one dimension
+    that grows with the facts: their join moves neither side. Rows are brought to their
+    bucket's task before writing, so a partition has one file for each bucket.
+    """
+    spark = star.fact.sparkSession
+    month = F.date_format("booking_date", "yyyy-MM")
+
+    def stored(df: DataFrame, name: str, bucketed: bool, partition: str | None = None) -> DataFrame:
+        if bucketed:
+            df = df.repartition(buckets, "customer_id")
+        writer = df.write.mode("overwrite").format("parquet").option("path", f"{folder}/{name}")
+        if bucketed:
+            writer = writer.bucketBy(buckets, "customer_id").sortBy("customer_id")
+        if partition:
+            writer = writer.partitionBy(partition)
+        writer.saveAsTable(f"{prefix}_{name}")
+        return spark.table(f"{prefix}_{name}")
+
+    return Star(
+        stored(star.fact.withColumn(FACT_MONTH, month), "fct_bookings", True, FACT_MONTH),
+        stored(star.hotels, "dim_hotels", False),
+        stored(star.dates, "dim_date", False),
+        stored(star.customers, "dim_customers", True),
+        {FACT_MONTH: ("dates", "year_month")},
+    )
+
+
 def star_join(star: Star, columns: dict[str, list[str]]) -> DataFrame:
     """Facts with chosen dimension columns; facts without a match keep blank members."""
     df = star.fact

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from stayledger.checks import inputs
 from stayledger.checks.queries import _answers
 from stayledger.operators import geo, quality
-from stayledger.plans import backfill, enrich, refresh, silver, star
+from stayledger.plans import backfill, enrich, measures, refresh, silver, star
 from stayledger.plans.reference import load_rates
 from stayledger.schemas import text_schema
 from stayledger.sources import bookings as B
@@ -155,3 +155,64 @@ def test_unexpected_values_are_all_there(spark):
 
 def test_text_schema_is_text():
     assert set(f.dataType.simpleString() for f in text_schema(["a", "b"])) == {"string"}
+
+
+@pytest.fixture(scope="module")
+def stored_star(spark, tmp_path_factory):
+    """60 bookings over three months; customers too large to be sent to all executors."""
+    bookings = spark.range(60).select(
+        F.concat(F.lit("b"), "id").alias("booking_id"), F.concat(F.lit("h"), F.col("id") % 4).alias("hotel_id"),
+        F.concat(F.lit("c"), F.col("id") % 7).alias("customer_id"),
+        F.date_add(F.lit("2024-01-01").cast("date"), (F.col("id") + F.lit(0)).cast("int")).alias("booking_date"),
+        F.col("id").cast("double").alias("total_price_usd"),
+    )
+    hotels = spark.createDataFrame([("h0", "ROME"), ("h1", "OSLO"), ("h2", None)], "hotel_id string, city string")
+    customers = spark.range(7).select(F.concat(F.lit("c"), "id").alias("customer_id"), F.concat(F.lit("name"), "id").alias("last_name"))
+    dates = bookings.select(F.col("booking_date").alias("date_key"), F.date_format("booking_date", "yyyy-MM").alias("year_month"), F.month("booking_date").alias("month")).distinct()
+    made = star.Star(bookings, hotels, dates, customers)
+    return star.store_star(made, "plan_star", str(tmp_path_factory.mktemp("star")), buckets=4)
+
+
+def test_selected_months_prune_the_fact(stored_star):
+    wanted = [measures.total_revenue(), measures.total_bookings()]
+    by_month = measures.evaluate(stored_star, (), wanted, {"dates.month": [2]})
+    assert "dynamicpruning" in plan(by_month)
+    # The partition's own column is even known before the job starts.
+    by_name = measures.evaluate(stored_star, (), wanted, {"dates.year_month": ["2024-02"]})
+    assert re.search(r"PartitionFilters: \[[^\]]*booking_month#\d+ = 2024-02", plan(by_name))
+    for df in (by_month, by_name):
+        assert df.first()["total_bookings"] == 29 and df.first()["total_revenue"] == sum(range(31, 60))
+
+
+def test_customers_join_where_they_lie(spark, stored_star):
+    limit = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        joined = star.star_join(stored_star, {"customers": ["last_name"]})
+        assert "Exchange" not in plan(joined) and "SortMergeJoin" in plan(joined)
+        assert joined.where("concat('name', substr(customer_id, 2)) = customers_last_name").count() == 60
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
+
+
+def test_facts_are_reduced_before_they_are_summed(spark, stored_star):
+    df = measures.evaluate(stored_star, ["customer_id"], [measures.total_bookings()], {"hotels.city": ["ROME"]})
+    text = plan(df)
+    assert text.index("HashAggregate") < text.index("LeftSemi")
+    assert sum(r["total_bookings"] for r in df.collect()) == 15
+
+
+@pytest.mark.parametrize("cities,want", [(["ROME"], 15), ([None], 30), (["OSLO", None], 45), ([], 0)])
+def test_blank_members_of_a_dimension(stored_star, cities, want):
+    """Hotel h2 has no city and h3 is no hotel: both are blank."""
+    df = measures.evaluate(stored_star, (), [measures.total_bookings()], {"hotels.city": cities})
+    assert df.first()["total_bookings"] == want
+
+
+def test_replaced_selection_on_a_dimension(stored_star):
+    share = measures.share_of("hotels.city", ["OSLO"])
+    rome, oslo = sum(range(0, 60, 4)), sum(range(1, 60, 4))
+    df = measures.evaluate(stored_star, (), [share, measures.total_bookings()], {"hotels.city": ["ROME"]})
+    assert df.first()["share"] == rome / oslo and df.first()["total_bookings"] == 15
+    by_city = {r["hotels_city"]: r["share"] for r in measures.evaluate(stored_star, ["hotels.city"], [share]).collect()}
+    assert by_city["OSLO"] == 1 and by_city["ROME"] == rome / oslo
