@@ -9,15 +9,18 @@ values below ``FLOOR`` count as none.
 
 Texts are sentences; a sentence is compared with a landmark by its best matching unit,
 where a unit is a word's letters, or a run of very short words together (letters spelled
-apart). Landmarks are the units most typical of toxic training documents and some of all
-others. The Nyström map turns kernel values with the landmarks into features for a linear
-machine, trained with the hinge loss on labelled sentences: sentences of clean documents
-are clean, and of a toxic document the one sentence that looks worst is toxic (chosen anew
-each round). A second linear machine takes the margin of a document's worst sentence and
-what is pooled over the whole document: how much its units are like each toxic landmark,
-and how many are strong. A unit is strong if it is much like a toxic landmark, or one of
-the marks, which are all units typical of toxic documents by a test of significance. Its margin is the document's; a logistic curve
-fitted on training documents gives the score.
+apart). Landmarks are all units typical of toxic training documents by a test of
+significance (the most typical ``TOXIC_LANDMARKS`` of them) and some of all others. The
+Nyström map turns kernel values with the landmarks into features for a linear machine,
+trained with the hinge loss on labelled sentences: sentences of clean documents are clean,
+and of a toxic document the one sentence that looks worst is toxic (chosen anew each
+round). A document is decided by a second linear machine on kernel values alone: the margin
+of its worst sentence, for each toxic landmark the greatest and the summed kernel values of
+the document's units, and how strong its strong units are together. Nothing counts by exact
+match: a unit counts by its kernel values. Toxic training documents take part a second time
+with a character inserted into each unit close to a landmark, at the weight ``tolerance``,
+so that the machine learns to tolerate it. A logistic curve fitted on documents that the
+machine has not seen gives the score.
 
 Fitting uses at most ``sample_rows`` labelled rows of each label, by a hash of the id; the
 landmarks' frequencies are counted on these. Scoring reads every row once, without a shuffle.
@@ -31,6 +34,7 @@ result.
 from __future__ import annotations
 
 import re
+import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -44,18 +48,20 @@ from stayledger.llm import common
 SPAN = 6
 DECAY = 0.6
 POWER = 3
-FLOOR = 1e-3
+FLOOR = 0.1
 SAMPLE_ROWS = 3000
-TOXIC_LANDMARKS = 64
+TOXIC_LANDMARKS = 128
 # Twice the log likelihood ratio of a unit's documents; about 1 in 16000 by chance.
 SIGNIFICANT = 16.0
-# A unit this much like a toxic landmark counts for its document.
-STRONG = 0.2
+# Units this much like a toxic landmark are strong, and close.
+STRONG, CLOSE = 0.5, 0.9
+# Weight of a toxic training document with inserted characters.
+INSERTED = 0.1
 OTHER_LANDMARKS = 32
-# Of a sampled document so many sentences are kept for training, the most landmark-like.
-KEPT_SENTENCES = 6
+# So many sentences of a sampled document, the most landmark-like, bound the training sample.
+SAMPLE_SENTENCES = 6
 FOLDS = 4
-DOCUMENT_RIDGE = 0.01
+DOCUMENT_RIDGE = 0.003
 MIN_UNIT, LONGEST_UNIT = 3, 24
 # A worker forgets words it has seen beyond so many.
 REMEMBERED = 150_000
@@ -143,6 +149,18 @@ class Kernel:
         return np.where(out < FLOOR, 0, out).astype(np.float32)
 
 
+def inserted(unit: str) -> str:
+    """A unit with a letter put in, both place and letter by its checksum."""
+    mark = zlib.crc32(unit.encode())
+    at = 1 + mark % max(1, len(unit) - 1)
+    return unit[:at] + chr(97 + (mark >> 8) % 26) + unit[at:]
+
+
+def pool_size(toxic: int) -> int:
+    """Numbers that are pooled of a text, besides its size."""
+    return 2 * toxic + 3
+
+
 class Eye:
     """Kernel values of sentences with the landmarks, remembering words already seen.
 
@@ -150,10 +168,10 @@ class Eye:
     the end of a line.
     """
 
-    def __init__(self, landmarks: list[str] | None, toxic: int = 0, marks: dict[str, float] | None = None):
-        # Marks count by their worth. The first ``toxic`` landmarks are those that units are counted for. Without landmarks it only counts units: every unit then has a row of its own.
+    def __init__(self, landmarks: list[str] | None, toxic: int = 0):
+        # The first ``toxic`` landmarks are those that documents are pooled for. Without landmarks it only counts units: every unit then has a row of its own.
         self.landmarks = landmarks
-        self.toxic, self.marks = toxic, marks or {}
+        self.toxic = toxic
         self.kernel = Kernel(landmarks) if landmarks is not None else None
         self._forget()
 
@@ -166,10 +184,6 @@ class Eye:
         self.is_short = np.zeros(0, bool)
         self.is_end = np.zeros(0, bool)
         self.rows = np.zeros((1, len(self.landmarks or [])), np.float32)
-        # Of each row the number of its unit where that is strong, or 0; and a row of each such unit.
-        self.strong: dict[str, int] = {}
-        self.strong_row, self.worth = [0], [0.0]
-        self.number = np.zeros(1, np.int32)
 
     def _rows_of(self, new: list[str]) -> np.ndarray:
         """Row numbers of new units; units unlike all landmarks share the empty row 0."""
@@ -178,28 +192,23 @@ class Eye:
             return np.arange(len(self.names) - len(new), len(self.names))
         if not new:
             return np.zeros(0, np.int32)
-        split = [windows(u) for u in new]
-        sizes = np.array([len(x) for x in split])
-        parts = [w for x in split for w in x]
-        values = np.concatenate(
-            [self.kernel.values(parts[a : a + 1024]) for a in range(0, len(parts), 1024)]
-        )
-        if len(parts) > len(new):
-            values = np.maximum.reduceat(values, np.cumsum(sizes) - sizes, axis=0)
-        marked = np.array([u in self.marks for u in new], bool)
-        some = values.any(1) | marked
+        values = self.values_of(new)
+        some = values.any(1)
         rows = np.where(some, len(self.rows) - 1 + np.cumsum(some), 0)
-        number = np.zeros(len(new), np.int32)
-        if self.toxic:
-            for i in np.flatnonzero((values[:, : self.toxic].max(1) >= STRONG) | marked).tolist():
-                number[i] = self.strong.setdefault(new[i], len(self.strong) + 1)
-                if number[i] == len(self.strong_row):
-                    self.strong_row.append(int(rows[i]))
-                    self.worth.append(self.marks.get(new[i], 0.0))
-        self.number = np.concatenate([self.number, number[some]])
+        self.names += [u for u, s in zip(new, some.tolist()) if s]
         self.rows = np.concatenate([self.rows, values[some]])
         return rows
 
+    def values_of(self, units: list[str]) -> np.ndarray:
+        """Kernel values of units; a long one has the best of its windows."""
+        split = [windows(u) for u in units]
+        sizes = np.array([len(x) for x in split])
+        parts = [w for x in split for w in x]
+        values = np.concatenate([self.kernel.values(parts[a : a + 1024]) for a in range(0, len(parts), 1024)])
+        if len(parts) > len(units):
+            values = np.maximum.reduceat(values, np.cumsum(sizes) - sizes, axis=0)
+        return values
+
     def _learn_words(self, new: list[str]) -> None:
         bare = [letters(w) for w in new]
         short = np.array([len(u) < MIN_UNIT for u in bare], bool)
@@ -261,26 +270,46 @@ class Eye:
         order = np.argsort(at, kind="stable")
         return row[order], at[order], text_of
 
+    def changed(self, row: np.ndarray) -> np.ndarray:
+        """Row numbers with units close to a toxic landmark replaced by ones with a character inserted."""
+        rows, back = np.unique(row, return_inverse=True)
+        close = np.flatnonzero(self.rows[rows, : self.toxic].max(1, initial=0) >= CLOSE)
+        if len(close):
+            rows[close] = self._rows_of([inserted(self.names[r]) for r in rows[close].tolist()])
+        return rows[back]
+
     def pooled(self, row: np.ndarray, text: np.ndarray, n: int) -> np.ndarray:
-        """Of each text the sums of its distinct strong units' kernel values, their worth and number; as log1p."""
-        out = np.zeros((n, self.toxic + 2), np.float32)
-        number = self.number[row]
-        pairs = np.unique(text[number > 0] << 32 | number[number > 0])
-        at, rows = pairs >> 32, np.array(self.strong_row)[pairs & 0xFFFFFFFF]
-        for a in range(0, len(at), 4096):
-            values = self.rows[rows[a : a + 4096], : self.toxic]
-            np.add.at(out[:, :-2], at[a : a + 4096], np.where(values >= STRONG, values, 0))
-        out[:, -2] = np.bincount(at, np.array(self.worth)[pairs & 0xFFFFFFFF], n)
-        out[:, -1] = np.bincount(at, minlength=n)
-        return np.log1p(out)
-
-    def look(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Best kernel values of the sentences that have some, the text each is from, and pools of all texts."""
+        """Of each text what its distinct units give together, a unit being a row other than 0."""
+        out = np.zeros((n, pool_size(self.toxic)), np.float32)
+        pairs = np.unique(text << 32 | row)
+        if not len(pairs) or not self.toxic:
+            return out
+        at, rows = pairs >> 32, pairs & 0xFFFFFFFF
+        values = self.rows[rows, : self.toxic]
+        first = np.flatnonzero(np.r_[True, at[1:] != at[:-1]])
+        some, best = at[first], values.max(1)
+        out[some, : self.toxic] = np.maximum.reduceat(values, first, axis=0)
+        out[some, self.toxic : 2 * self.toxic] = np.add.reduceat(values, first, axis=0)
+        out[some, -3] = np.add.reduceat(np.where(best >= STRONG, best, 0), first)
+        out[some, -2] = np.add.reduceat((best >= CLOSE).astype(np.float32), first)
+        out[:, self.toxic :] = np.log1p(out[:, self.toxic :])
+        out[some, -1] = np.maximum.reduceat(best, first)
+        return out
+
+    def look(self, texts: list[str], insert: bool = False) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Best kernel values of the sentences that have some, the text each is from, and pools of all texts.
+
+        ``insert`` looks at the texts with a character inserted into units close to a landmark.
+        """
         row, at, text_of = self.met(texts)
+        if insert and len(row):
+            row = self.changed(row)
+            row, at = row[row > 0], at[row > 0]
+        pools = self.pooled(row, text_of[at] if len(row) else row, len(texts))
+        # Longer texts hold more units like a landmark by chance.
+        pools = np.column_stack([pools, np.log1p([t.count(" ") for t in texts])]).astype(np.float32)
         if not len(row):
-            none = np.zeros((len(texts), self.toxic + 2), np.float32)
-            return np.zeros((0, self.rows.shape[1]), np.float32), np.zeros(0, np.int64), none
-        pools = self.pooled(row, text_of[at], len(texts))
+            return np.zeros((0, self.rows.shape[1]), np.float32), np.zeros(0, np.int64), pools
         first = np.flatnonzero(np.r_[True, at[1:] != at[:-1]])
         many = np.diff(np.r_[first, len(row)])
         best = self.rows[row[first]]
@@ -299,7 +328,6 @@ class Eye:
 class Machine:
     landmarks: list[str]
     toxic: int
-    marks: dict[str, float]
     project: np.ndarray
     weight: np.ndarray
     bias: float
@@ -320,8 +348,8 @@ class Machine:
         return 1 / (1 + np.exp(-np.clip(self.slope * margins + self.shift, -30, 30)))
 
 
-def choose_landmarks(docs: DataFrame, counts: dict[int, int]) -> tuple[list[str], int, dict[str, float]]:
-    """Landmarks, the toxic ones first; the number of these; and all significant units with their worth."""
+def choose_landmarks(docs: DataFrame, counts: dict[int, int]) -> tuple[list[str], int]:
+    """Landmarks, the toxic ones first, and the number of these."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
@@ -346,12 +374,10 @@ def choose_landmarks(docs: DataFrame, counts: dict[int, int]) -> tuple[list[str]
     of = lambda n, p: F.when(n > 0, n * F.log(n / (F.col("bad") + F.col("good")) / p)).otherwise(0.0)
     ratio = 2 * (of(F.col("bad"), share) + of(F.col("good"), 1 - share))
     ranked = by_unit.where(F.length("unit") <= LONGEST_UNIT).select("unit", ((bad - good) / spread).alias("z"), ratio.alias("ratio"), (F.col("bad") + F.col("good")).alias("n"))
-    worst = ranked.where("n >= 4").orderBy(F.desc("z"), "unit").limit(TOXIC_LANDMARKS).collect()
-    chosen = [r["unit"] for r in worst if r["z"] > 0]
-    clear = ranked.where(F.expr("n >= 4 and z > 0") & (F.col("ratio") >= SIGNIFICANT)).select("unit", "ratio").collect()
-    marks = {r["unit"]: r["ratio"] / SIGNIFICANT for r in clear}
+    typical = ranked.where(F.expr("n >= 4 and z > 0") & (F.col("ratio") >= SIGNIFICANT))
+    chosen = [r["unit"] for r in typical.orderBy(F.desc("ratio"), "unit").limit(TOXIC_LANDMARKS).collect()]
     others = ranked.where("n >= 5 and z <= 0 and length(unit) between 4 and 10").orderBy(F.xxhash64(F.lit(3), "unit"), "unit").limit(OTHER_LANDMARKS).collect()
-    return chosen + [r["unit"] for r in others], len(chosen), marks
+    return chosen + [r["unit"] for r in others], len(chosen)
 
 
 def nystroem(eye: Eye) -> np.ndarray:
@@ -361,18 +387,27 @@ def nystroem(eye: Eye) -> np.ndarray:
     return vectors[:, keep] / np.sqrt(values[keep])
 
 
-def hinge(x: np.ndarray, y: np.ndarray, cost: np.ndarray, ridge: float = 1e-3, rounds: int = 400) -> tuple[np.ndarray, float]:
-    """Linear machine by subgradient descent on the weighted squared hinge loss."""
-    w, b = np.zeros(x.shape[1]), 0.0
-    vw, vb = np.zeros_like(w), 0.0
-    rate = 0.5 / max(1.0, float((cost * (x * x).sum(1)).sum() + cost.sum()))
+def hinge(x: np.ndarray, y: np.ndarray, cost: np.ndarray, ridge: float = 1e-3, rounds: int = 60) -> tuple[np.ndarray, float]:
+    """Linear machine with the weighted squared hinge loss, by Newton steps on the rows inside the margin."""
+    one = np.column_stack([x, np.ones(len(x))])
+    damp = np.r_[np.full(x.shape[1], ridge), 1e-9]
+    loss = lambda w: float((cost * np.maximum(0, 1 - y * (one @ w)) ** 2).sum() + 0.5 * (damp * w * w).sum())
+    w = np.zeros(one.shape[1])
+    now = loss(w)
     for _ in range(rounds):
-        gap = np.maximum(0, 1 - y * (x @ (w + 0.9 * vw) + b + 0.9 * vb))
-        pull = cost * y * gap * 2
-        vw = 0.9 * vw + rate * (x.T @ pull - ridge * w)
-        vb = 0.9 * vb + rate * pull.sum()
-        w, b = w + vw, b + vb
-    return w, b
+        gap = 1 - y * (one @ w)
+        inside = gap > 0
+        rows, weight = one[inside], 2 * cost[inside]
+        slope = damp * w - rows.T @ (weight * y[inside] * gap[inside])
+        step = np.linalg.solve((rows * weight[:, None]).T @ rows + np.diag(damp) + 1e-12 * np.eye(len(w)), slope)
+        size = 1.0
+        while size > 1e-6 and loss(w - size * step) > now:
+            size /= 2
+        before, now = now, min(now, loss(w - size * step))
+        if size <= 1e-6 or before - now <= 1e-9 * before:
+            break
+        w = w - size * step
+    return w[:-1], float(w[-1])
 
 
 def curve(margin: np.ndarray, y: np.ndarray, weight: np.ndarray) -> tuple[float, float]:
@@ -388,8 +423,14 @@ def curve(margin: np.ndarray, y: np.ndarray, weight: np.ndarray) -> tuple[float,
     return float(a[0]), float(a[1])
 
 
-def train(docs: DataFrame, labels: DataFrame, label: str = "toxic", sample_rows: int = SAMPLE_ROWS) -> Machine | float:
-    """A machine from labelled documents; the share of toxic ones where there are no two kinds."""
+def train(
+    docs: DataFrame, labels: DataFrame, label: str = "toxic", sample_rows: int = SAMPLE_ROWS, tolerance: float = INSERTED
+) -> Machine | float:
+    """A machine from labelled documents; the share of toxic ones where there are no two kinds.
+
+    ``tolerance`` is the weight of toxic documents with inserted characters: more of it finds
+    more insults with changed letters, and takes more chance likenesses for such.
+    """
     sample, counts = common.labelled_sample(labels, label, sample_rows, seed=7)
     total = sum(counts.values())
     if len(counts) < 2:
@@ -397,71 +438,88 @@ def train(docs: DataFrame, labels: DataFrame, label: str = "toxic", sample_rows:
     # At most twice sample_rows ids go to all executors, so no text is shuffled.
     known = docs.select("doc_id", "text").join(F.broadcast(sample), "doc_id")
     used = {y: min(n, sample_rows) for y, n in counts.items()}
-    landmarks, toxic, marks = choose_landmarks(known, used)
-    if not landmarks:
+    landmarks, toxic = choose_landmarks(known, used)
+    if not toxic:
         return counts[1] / total
+    width = pool_size(toxic) + 1
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        eye = Eye(landmarks, toxic, marks)
+        eye = Eye(landmarks, toxic)
         for whole in batches:
             for batch in common.chunks(whole, "text", CHUNK_BYTES):
-                values, owner, pools = eye.look(common.texts(batch))
-                ids, ys = batch.column("doc_id").to_pylist(), batch.column("y").to_pylist()
-                rows: list[list] = [[], [], [], []]
-                for i in range(len(ids)):
-                    own = values[owner == i]
-                    like = own[:, :toxic].max(1) if toxic else np.zeros(len(own))
-                    best = np.argsort(-like, kind="stable")[:KEPT_SENTENCES]
-                    for v in own[best]:
-                        rows[0].append(ids[i])
-                        rows[1].append(ys[i])
-                        rows[2].append(v.tolist())
-                        rows[3].append(pools[i].tolist())
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(rows[0], id_type), pa.array(rows[1], pa.int32()), pa.array(rows[2], pa.list_(pa.float32())),
-                     pa.array(rows[3], pa.list_(pa.float32()))],
-                    ["doc_id", "y", "v", "pool"],
-                )
-
-    id_type = pa.int64()
-    got = known.select(F.xxhash64("doc_id").alias("doc_id"), "y", "text").mapInArrow(run, "doc_id long, y int, v array<float>, pool array<float>").collect()
-    got.sort(key=lambda r: (r["doc_id"], r["y"], r["v"]))
-    if len({r["y"] for r in got}) < 2:
+                texts = common.texts(batch)
+                columns = [batch.column("doc_id"), batch.column("y")]
+                for insert in (False, True):
+                    values, owner, pools = eye.look(texts, insert)
+                    order = np.lexsort((-values[:, :toxic].max(1), owner)) if len(values) else np.zeros(0, np.int64)
+                    ends = np.searchsorted(owner[order], np.arange(len(texts) + 1))
+                    held = [values[order[a : min(z, a + SAMPLE_SENTENCES)]].tobytes() for a, z in zip(ends, ends[1:])]
+                    columns += [pa.array(held, pa.binary()), pa.array([p.tobytes() for p in pools], pa.binary())]
+                yield pa.RecordBatch.from_arrays(columns, ["doc_id", "y", "v", "pool", "v_changed", "pool_changed"])
+
+    # At most a few kilobytes for each of the sampled rows, as one block.
+    found = known.select(F.xxhash64("doc_id").alias("doc_id"), "y", "text").mapInArrow(run, "doc_id long, y int, v binary, pool binary, v_changed binary, pool_changed binary").toArrow()
+    found = found.sort_by([("doc_id", "ascending"), ("y", "ascending"), ("v", "ascending"), ("pool", "ascending")])
+    label_of = found.column("y").to_numpy()
+    if len(set(label_of.tolist())) < 2:
         return counts[1] / total
-    x, y = np.array([r["v"] for r in got], float), np.array([r["y"] for r in got])
-    _, doc = np.unique(np.array([r["doc_id"] for r in got]), return_inverse=True)
+    ids = found.column("doc_id").to_numpy()
+    name = np.cumsum(np.r_[False, ids[1:] != ids[:-1]])
+    pools, changed_pools = (
+        np.frombuffer(b"".join(found.column(c).to_pylist()), np.float32).reshape(len(name), width).astype(float) for c in ("pool", "pool_changed")
+    )
+    x, row = sentences_of(found.column("v"), len(landmarks))
+    y, doc = label_of[row], name[row]
     project = nystroem(Eye(landmarks))
-    pools = np.array([r["pool"] for r in got], float)
-    z, start = x @ project, x[:, :toxic].max(1) if toxic else np.zeros(len(x))
-    # The curve is fitted on margins from machines that have not seen the document.
+    z, start = x @ project, x[:, :toxic].max(1) if len(x) else np.zeros(0)
+    # A document's inputs have the margin that machines give which have not seen it.
     held = np.full(len(y), np.nan)
     for fold in range(FOLDS):
         out = doc % FOLDS == fold
         if len(set(y[~out].tolist())) == 2 and out.any():
             w, b = machine(z[~out], y[~out], doc[~out], start[~out])
             held[out] = z[out] @ w + b
+    if len(set(y.tolist())) < 2:
+        return counts[1] / total
     w, b = machine(z, y, doc, start)
     held = np.where(np.isnan(held), z @ w + b, held)
-    top = worst_of(held, doc)
-    # The documents' machine, from margins of sentences not seen; again by folds for the curve.
-    inputs, label_of, fold_of = np.column_stack([held, pools])[top], y[top], doc[top] % FOLDS
-    whole, whole_bias = document_machine(inputs, label_of)
+    bad = label_of == 1
+    worst = greatest(held, row, len(name), b)
+    x, row = sentences_of(found.column("v_changed"), len(landmarks))
+    changed = greatest(x @ project @ w + b, row, len(name), b)
+    inputs = np.concatenate([np.column_stack([worst, pools]), np.column_stack([changed, changed_pools])[bad]])
+    label_of, fold_of = np.r_[label_of, label_of[bad]], np.r_[name, name[bad]] % FOLDS
+    share = np.r_[np.ones(len(name)), np.full(bad.sum(), tolerance)]
+    whole, whole_bias = document_machine(inputs, label_of, share, bad.sum())
     held = inputs @ whole + whole_bias
     for fold in range(FOLDS):
         out = fold_of == fold
         if len(set(label_of[~out].tolist())) == 2 and out.any():
-            v, c = document_machine(inputs[~out], label_of[~out])
+            v, c = document_machine(inputs[~out], label_of[~out], share[~out], bad.sum())
             held[out] = inputs[out] @ v + c
     # Rows count so that labels have their natural shares again.
-    each = [counts[k] / total / max(1, (label_of == k).sum()) for k in (0, 1)]
-    slope, shift = curve(held, label_of.astype(float), np.where(label_of == 1, each[1], each[0]) * top.sum())
-    return Machine(landmarks, toxic, marks, project, w, b, whole, whole_bias, slope, shift)
+    each = [counts[k] / total / max(1e-9, share[label_of == k].sum()) for k in (0, 1)]
+    slope, shift = curve(held, label_of.astype(float), share * np.where(label_of == 1, each[1], each[0]) * len(name))
+    return Machine(landmarks, toxic, project, w, b, whole, whole_bias, slope, shift)
+
+
+def sentences_of(column: pa.ChunkedArray, width: int) -> tuple[np.ndarray, np.ndarray]:
+    """Kernel values of all sentences held by some documents, and the document of each."""
+    held = [np.frombuffer(v, np.float32).reshape(-1, width) for v in column.to_pylist()]
+    return np.concatenate(held).astype(float), np.repeat(np.arange(len(held)), [len(v) for v in held])
+
+
+def greatest(margin: np.ndarray, doc: np.ndarray, n: int, bias: float) -> np.ndarray:
+    """The greatest margin of each document; a sentence unlike all landmarks has the bias as its margin."""
+    out = np.full(n, float(bias))
+    np.maximum.at(out, doc, margin)
+    return out
 
 
-def document_machine(inputs: np.ndarray, y: np.ndarray) -> tuple[np.ndarray, float]:
-    """Weights and bias of the linear machine over documents; both labels weigh the same."""
-    cost = np.where(y == 1, 1.0 / max(1, (y == 1).sum()), 1.0 / max(1, (y == 0).sum()))
-    return hinge(inputs, np.where(y == 1, 1.0, -1.0), cost, ridge=DOCUMENT_RIDGE, rounds=1500)
+def document_machine(inputs: np.ndarray, y: np.ndarray, share: np.ndarray, plain: int) -> tuple[np.ndarray, float]:
+    """Weights and bias of the linear machine over documents; the ``plain`` toxic ones weigh as much as the clean."""
+    cost = share * np.where(y == 1, 1.0 / max(1, plain), 1.0 / max(1, (y == 0).sum()))
+    return hinge(inputs, np.where(y == 1, 1.0, -1.0), cost, ridge=DOCUMENT_RIDGE)
 
 
 def worst_of(margin: np.ndarray, doc: np.ndarray) -> np.ndarray:
@@ -489,7 +547,7 @@ def score(docs: DataFrame, model: Machine | float, text: str = "text") -> DataFr
     docs = docs.select(*[f"`{c}`" for c in keep])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        eye = None if isinstance(model, float) else Eye(model.landmarks, model.toxic, model.marks)
+        eye = None if isinstance(model, float) else Eye(model.landmarks, model.toxic)
         for whole in batches:
             for batch in common.chunks(whole, text, CHUNK_BYTES):
                 n = batch.num_rows
@@ -497,10 +555,7 @@ def score(docs: DataFrame, model: Machine | float, text: str = "text") -> DataFr
                     margin, s = np.zeros(n), np.full(n, model)
                 else:
                     values, owner, pools = eye.look(common.texts(batch, text))
-                    # A sentence unlike all landmarks has the bias as its margin.
-                    margin = np.full(n, float(model.bias))
-                    np.maximum.at(margin, owner, model.margins(values))
-                    margin = model.document_margins(margin, pools)
+                    margin = model.document_margins(greatest(model.margins(values), owner, n, model.bias), pools)
                     s = model.scores(margin)
                 new = [pa.array(margin), pa.array(s), pa.array((s >= 0.5).astype(np.int32))]
                 yield common.append(batch, new, ["margin", "score", "predicted"])

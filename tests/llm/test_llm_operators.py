@@ -417,14 +417,38 @@ def test_toxicity_counts_over_the_whole_document(spark):
     assert np.mean([got[i] == y for i, _, y in held]) > 0.95
 
 
-def test_all_significant_units_are_marks(spark):
-    """More typical words than the least number of landmarks, each of them rare."""
+def test_all_significant_units_are_landmarks(spark):
+    """Many typical words, each of them rare."""
     rng = random.Random(6)
     bad = ["".join(rng.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(9)) for _ in range(100)]
     rows = [(1, f"{bad[i % 100]} and {bad[(i * 7 + 3) % 100]} here") for i in range(600)] + [(0, "and here is nothing")] * 3000
     docs = spark.createDataFrame(rows, "y int, text string")
-    _, _, marks = toxicity.choose_landmarks(docs, {0: 3000, 1: 600})
-    assert set(marks) == set(bad)
+    landmarks, toxic = toxicity.choose_landmarks(docs, {0: 3000, 1: 600})
+    assert set(landmarks[:toxic]) == set(bad)
+
+
+def test_toxicity_tolerates_inserted_characters(spark):
+    """Every insult of the held-out documents gets one more letter than in training."""
+    rng = random.Random(9)
+    syllables = ("lan", "mor", "tis", "eth", "oru", "al", "en", "um", "pex", "dra")
+    plain = ["".join(rng.sample(syllables, 3)) for _ in range(200)]
+    bad = ["blockhead", "nitwit", "scoundrel", "villain", "wretch", "fiendish"]
+    rows, marks = [], []
+    for i in range(600):
+        toxic, held = i % 3 == 0, crc_mod(i, 5) == 0
+        words_ = [rng.choice(plain) for _ in range(40)]
+        if toxic:
+            for w in rng.sample(bad, 2):
+                at = rng.randrange(1, len(w))
+                words_.insert(rng.randrange(40), w[:at] + rng.choice("bdfgjkqvz") + w[at:] if held else w)
+        rows.append((i, " ".join(words_) + "."))
+        marks.append((i, None, int(toxic)))
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    model = toxicity.train(docs, labels(spark, [m for m in marks if crc_mod(m[0], 5)]), tolerance=1.0)
+    got = {r["doc_id"]: r["predicted"] for r in toxicity.score(docs, model).collect()}
+    held = [(got[i], y) for i, _, y in marks if crc_mod(i, 5) == 0]
+    assert sum(g for g, y in held if y) >= 0.9 * sum(y for _, y in held)
+    assert sum(g for g, y in held if not y) == 0
 
 
 # Languages
