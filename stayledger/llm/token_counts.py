@@ -25,7 +25,7 @@ import json
 import re
 import unicodedata
 from array import array
-from collections.abc import Iterable, Iterator
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -36,11 +36,10 @@ from stayledger.llm import common
 
 VOCABULARY = "byte_bpe_50k.json"
 LIMIT = 1024
-# A worker forgets what it has learnt beyond about so many bytes, and pairs of tokens beyond so many.
-REMEMBERED_BYTES = 300 << 20
+# A worker forgets words and pairs of tokens beyond so many, and never keeps longer words.
+REMEMBERED_WORDS = 400_000
 REMEMBERED_PAIRS = 1_000_000
-# Bytes that an entry takes besides its text.
-ENTRY = 250
+LONGEST_WORD = 64
 # Long texts are taken in stretches of about so many characters.
 STRETCH = 1 << 19
 
@@ -93,13 +92,13 @@ class Vocabulary:
             whole = ids[a + b]
             self.partners.setdefault(ids[a], {})[ids[b]] = at
             self.parts.setdefault(whole, (ids[a], ids[b], at))
-        # Tree of tokens from their ends: of each byte before, the token that starts there, or -1, and the bytes before it.
+        # Tree of tokens: of each next byte the token that ends there, or -1, and what follows.
         self.tree: dict[int, list] = {}
         for name, number in ids.items():
             if len(text[name]) > 1 and number not in self.parts:
                 continue
             below = self.tree
-            for byte in reversed(text[name]):
+            for byte in text[name]:
                 node = below.setdefault(byte, [-1, {}])
                 below = node[1]
             node[0] = number
@@ -133,48 +132,36 @@ class Vocabulary:
                         return False
         return True
 
-    def tables(self, words: list[bytes]) -> Iterator[list[int]]:
-        """For each word, best in order, the number of tokens of each prefix from the empty one on.
-
-        What a word has in common with the one before it is not done again.
-        """
-        before, last, count = b"", [-1], [0]
-        for word in words:
-            same, most = 0, min(len(before), len(word))
-            while same < most and before[same] == word[same]:
-                same += 1
-            del last[same + 1 :], count[same + 1 :]
-            for end in range(same, len(word)):
-                below = self.tree
-                for start in range(end, -1, -1):
-                    token, below = below[word[start]]
-                    if token >= 0 and (not start or self.fits(last[start], token)):
-                        last.append(token)
-                        count.append(count[start] + 1)
-                        break
-            before = word
-            yield count[:]
-
-    def fits(self, a: int, b: int) -> bool:
-        """``follows``, remembered."""
-        known = self.pairs.get(a)
-        if known is None:
-            if self.known_pairs > REMEMBERED_PAIRS:
-                self.pairs, self.known_pairs = {}, 0
-            known = self.pairs[a] = {}
-        fit = known.get(b)
-        if fit is None:
-            fit = known[b] = self.follows(a, b)
-            self.known_pairs += 1
-        return fit
+    def prefixes(self, word: bytes) -> list[int]:
+        """Number of tokens of each prefix of a word, from the empty one on."""
+        last, count = [0] * (len(word) + 1), [0] * (len(word) + 1)
+        for start in range(len(word)):
+            before, more, below, end = last[start], count[start] + 1, self.tree, start
+            fits = self.pairs.get(before)
+            if fits is None:
+                fits = self.pairs[before] = {}
+            for byte in word[start:]:
+                node = below.get(byte)
+                if node is None:
+                    break
+                end += 1
+                token, below = node
+                if token >= 0 and not count[end]:
+                    if start:
+                        fit = fits.get(token)
+                        if fit is None:
+                            fit = fits[token] = self.follows(before, token)
+                            self.known_pairs += 1
+                        if not fit:
+                            continue
+                    last[end], count[end] = token, more
+        if self.known_pairs > REMEMBERED_PAIRS:
+            self.pairs, self.known_pairs = {}, 0
+        return count
 
 
 class Counter:
-    """Counts at all prefixes of texts, remembering parts already seen.
-
-    A single space between other characters always begins a word. So texts are taken apart at
-    spaces, and the counts of a part with its space are kept as a whole.
-    """
+    """Counts at all prefixes of texts, remembering words already seen."""
 
     def __init__(self, path: str, newer: str):
         import public_tokenizers
@@ -186,19 +173,11 @@ class Counter:
         # Most texts end their search at this plainer pattern.
         self.late = re.compile(f"[{newer[:10]}-\U0010ffff]") if newer else None
         self.special = re.compile("|".join(map(re.escape, self.vocabulary.special))) if self.vocabulary.special else None
-        self.blank = re.compile(r"\s")
         self.border = regex.compile(r"\S(?=\s)")
         self.run = regex.compile(r"\s\s+(?=\S)")
-        self.library = None
-        self._forget()
-
-    def _forget(self) -> None:
-        # Of each part with its space: its tokens, or -1 where it does not stand alone.
         self.sizes: dict[str, int] = {}
         self.shapes: dict[str, bytes] = {}
-        self.word_sizes: dict[str, int] = {}
-        self.word_shapes: dict[str, bytes] = {}
-        self.held = 0
+        self.library = None
 
     def words(self, text: str) -> list[str]:
         if self.newer and not text.isascii() and self.late.search(text) and self.newer.search(text):
@@ -220,79 +199,44 @@ class Counter:
             start = met.end()
         yield text[start:]
 
-    def segments(self, text: str) -> list[str]:
-        """What stands between special strings."""
-        return self.special.split(text) if self.special else [text]
-
-    def learn(self, words: Iterable[str]) -> None:
-        """Tables of words not yet known."""
-        new = sorted((w.encode(), w) for w in set(words) if w not in self.word_shapes)
-        for (data, word), count in zip(new, self.vocabulary.tables([d for d, _ in new])):
-            if len(data) != len(word):
-                # Where characters end: no byte that continues one comes next.
-                count = [c for c, after in zip(count, data + b" ") if after & 0xC0 != 0x80]
-            self.word_sizes[word] = count[-1]
-            self.word_shapes[word] = array("h", [b - a for a, b in zip(count, count[1:])]).tobytes()
-            self.held += 2 * len(data) + ENTRY
-
-    def prepare(self, texts: list[str]) -> None:
-        """Learn all parts of some texts at once."""
-        if self.held > REMEMBERED_BYTES:
-            self._forget()
-        parts = {p for t in texts for s in self.segments(t) for p in s.split(" ")}
-        split = {p: self.words(" " + p) for p in parts if p not in self.sizes and p and not (p[0].isspace() or p[-1].isspace())}
-        self.learn(w for words in split.values() for w in words)
-        for part, words in split.items():
-            if len(words) == 1:
-                self.sizes[part], self.shapes[part] = self.word_sizes[words[0]], self.word_shapes[words[0]]
-            elif self.blank.search(part):
-                total = self._plain(" " + part, words)
-                self.sizes[part] = int(total[-1])
-                self.shapes[part] = np.diff(total, prepend=0).astype(np.int16).tobytes()
-            else:
-                self.sizes[part] = sum([self.word_sizes[w] for w in words])
-                self.shapes[part] = b"".join([self.word_shapes[w] for w in words])
-            self.held += 3 * len(part) + ENTRY
-        for part in parts:
-            self.sizes.setdefault(part, -1)
-
-    def _plain(self, text: str, words: list[str] | None = None) -> np.ndarray:
-        """Counts at all prefixes of a text from its words, which are learnt if not given."""
-        if words is None:
-            words = self.words(text)
-            self.learn(words)
-        total = np.cumsum(np.frombuffer(b"".join([self.word_shapes[w] for w in words]), np.int16), dtype=np.int64)
-        # White space is one word up to its end as long as nothing follows.
-        for met in self.run.finditer(text):
-            a, z = met.span()
-            total[z - 1] = (total[a - 1] if a else 0) + self._plain(met.group())[-1]
+    def learn(self, word: str) -> tuple[int, bytes]:
+        data = word.encode()
+        count = self.vocabulary.prefixes(data)
+        if len(data) != len(word):
+            # Where characters end: no byte that continues one comes next.
+            count = [c for c, after in zip(count, data + b" ") if after & 0xC0 != 0x80]
+        shape = array("h", [b - a for a, b in zip(count, count[1:])]).tobytes()
+        if len(word) <= LONGEST_WORD:
+            if len(self.sizes) >= REMEMBERED_WORDS:
+                self.sizes.clear()
+                self.shapes.clear()
+            self.sizes[word], self.shapes[word] = count[-1], shape
+        return count[-1], shape
+
+    def size(self, words: list[str]) -> int:
+        total, known = 0, self.sizes.get
+        for word in words:
+            size = known(word)
+            total += self.learn(word)[0] if size is None else size
         return total
 
-    def _sum(self, text: str) -> int:
-        first, *parts = text.split(" ")
-        sizes = list(map(self.sizes.get, parts))
-        if None in sizes or -1 in sizes or first and first[-1].isspace():
-            return sum(int(self._plain(s)[-1]) for s in self.stretches(text) if s)
-        return sum(sizes) + (int(self._plain(first)[-1]) if first else 0)
-
     def count(self, text: str) -> int:
         """Number of tokens of a text."""
-        found = self.segments(text)
-        return len(found) - 1 + sum(self._sum(s) for s in found if s)
-
-    def _shape(self, text: str) -> np.ndarray:
-        first, *parts = text.split(" ")
-        shapes = list(map(self.shapes.get, parts))
-        if None not in shapes and not (first and first[-1].isspace()):
-            steps = np.frombuffer(b"".join(shapes), np.int16)
-            head = self._plain(first) if first else np.zeros(0, np.int64)
-            return np.concatenate([head, np.cumsum(steps, dtype=np.int64) + (head[-1] if first else 0)])
-        found, base = [], 0
-        for stretch in self.stretches(text):
-            if stretch:
-                found.append(self._plain(stretch) + base)
-                base = found[-1][-1]
-        return np.concatenate(found)
+        if not text:
+            return 0
+        parts = self.special.split(text) if self.special else [text]
+        return len(parts) - 1 + sum(self.size(self.words(s)) for p in parts for s in self.stretches(p))
+
+    def _plain(self, text: str) -> np.ndarray:
+        shapes = []
+        for word in self.words(text):
+            shapes.append(self.shapes.get(word) or self.learn(word)[1])
+        total = np.cumsum(np.frombuffer(b"".join(shapes), np.int16), dtype=np.int64)
+        # White space is one word up to its end as long as nothing follows.
+        for met in self.run.finditer(text):
+            a, z = met.span()
+            total[z - 1] = (total[a - 1] if a else 0) + self.size([met.group()])
+        return total
 
     def prefixes(self, text: str) -> np.ndarray:
         """Number of tokens of each prefix of 1, 2, ... characters of a text."""
@@ -300,10 +244,13 @@ class Counter:
         marks = [m.span() for m in self.special.finditer(text)] if self.special else []
         for a, z in [*marks, (len(text), len(text) + 1)]:
             # A special string without its end is text like other text.
-            if z - 1 > start:
-                found.append(self._shape(text[start : z - 1]) + base)
+            stretch_base = base
+            for s in self.stretches(text[start : z - 1]):
+                if s:
+                    found.append(self._plain(s) + stretch_base)
+                    stretch_base = int(found[-1][-1])
             if a < len(text):
-                base += (self._sum(text[start:a]) if a > start else 0) + 1
+                base += self.count(text[start:a]) + 1
                 found.append(np.array([base]))
             start = z
         return np.concatenate(found) if found else np.zeros(0, np.int64)
@@ -345,9 +292,7 @@ def count_tokens(
         for whole in batches:
             for batch in common.chunks(whole, "_text"):
                 sizes, totals, over, fits, steps = [], [], [], [], []
-                documents = common.texts(batch, "_text")
-                counting.prepare(documents)
-                for document in documents:
+                for document in common.texts(batch, "_text"):
                     sizes.append(len(document.encode()))
                     # A token has at least one byte, so short texts are within the limit.
                     counts = counting.prefixes(document) if store or sizes[-1] > limit else None
