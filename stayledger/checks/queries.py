@@ -31,7 +31,7 @@ from stayledger.operators.joins import missing_keys
 from stayledger.plans import backfill, dashboard, enrich
 from stayledger.plans import measures as m
 from stayledger.plans import star as models
-from stayledger.plans.reference import load_rates
+from stayledger.plans.reference import load_rates, load_weather
 from stayledger.plans.refresh import run_all
 from stayledger.plans.silver import bookings_per_year, clean_stateless, rooms
 from stayledger.schemas import FCT_BOOKINGS, conform, text_schema
@@ -983,23 +983,32 @@ def dq_unexpected_values(spark: Spark, sf: str) -> Frame:
     return quality.unexpected_values(rows, suite)
 
 
-def _n_values_sql(suite, source: str) -> str:
-    """Distinct unexpected values by position."""
+def _values_sql(suite, source: str) -> str:
+    """Unexpected values by position, with their rows."""
 
     def one(i: int, e) -> str:
+        value = f"SELECT {i} AS position, CAST({e.column} AS VARCHAR) AS value, count(*) AS rows FROM {source}"
         if e.kind == quality.UNIQUE:
-            return f"SELECT {i} AS position, count(*) AS n FROM (SELECT {e.column} FROM {source} WHERE {e.column} IS NOT NULL GROUP BY 1 HAVING count(*) > 1)"
+            return f"{value} WHERE {e.column} IS NOT NULL GROUP BY {e.column} HAVING count(*) > 1"
         if e.kind == quality.NOT_NULL:
-            return f"SELECT {i}, CAST(bool_or({e.column} IS NULL) AS BIGINT) FROM {source}"
+            return f"{value} WHERE {e.column} IS NULL GROUP BY {e.column}"
         tests = [f"{e.column} {sign} {v}" for sign, v in (("<", e.low), (">", e.high)) if v is not None]
-        return f"SELECT {i}, count(DISTINCT {e.column}) FROM {source} WHERE {' OR '.join(tests)}"
+        return f"{value} WHERE {' OR '.join(tests)} GROUP BY {e.column}"
 
     return " UNION ALL ".join(one(i, e) for i, e in enumerate(suite))
 
 
+# The silver suite, and checks that the given bookings break in many ways.
+_REPORT_SUITE = (
+    *quality.SILVER_SUITE, quality.expect_unique("hotel_id"), quality.expect_not_null("total_rooms"),
+    quality.expect_between("total_rooms", 25, 300),
+)
+
+
 @query(
-    f"""SELECT s.*, round(avg(CAST(success AS INTEGER)) OVER () * 100, 6) AS success_percent, coalesce(v.n, 0) AS n_values
-        FROM ({_suite_sql(quality.SILVER_SUITE, "silver")}) s LEFT JOIN ({_n_values_sql(quality.SILVER_SUITE, "silver")}) v USING (position)"""
+    f"""SELECT s.*, round(avg(CAST(success AS INTEGER)) OVER () * 100, 6) AS success_percent, coalesce(n.n, 0) AS n_values
+        FROM ({_suite_sql(quality.SILVER_SUITE, "silver")}) s
+        LEFT JOIN (SELECT position, count(*) AS n FROM ({_values_sql(quality.SILVER_SUITE, "silver")}) GROUP BY position) n USING (position)"""
 )
 def dq_report_json(spark: Spark, sf: str) -> Frame:
     """The suite's report document, written as JSON and read back."""
@@ -1020,6 +1029,21 @@ def dq_report_json(spark: Spark, sf: str) -> Frame:
     )
 
 
+@query(
+    f"""SELECT position, CAST(n AS BIGINT) AS n_values, value, rows
+        FROM (SELECT *, count(*) OVER (PARTITION BY position) AS n FROM ({_values_sql(_REPORT_SUITE, "silver")}))"""
+)
+def dq_report_values(spark: Spark, sf: str) -> Frame:
+    """All unexpected values behind a report document, through the run that the document names."""
+    columns = list(dict.fromkeys([*_DQ_COLUMNS, *(e.column for e in _REPORT_SUITE)]))
+    rows = stage_table(silver(spark, sf, *columns), "checked")
+    results, folder = quality.run_suite(rows, _REPORT_SUITE), workspace(spark, "reports")
+    written = reports.write_report(results, folder, quality.unexpected_values(rows, _REPORT_SUITE))
+    shape = "run string, unexpected_values array<struct<position:int,n_values:bigint>>"
+    named = written.select(F.from_json("value", shape).alias("d")).select("d.run", F.inline("d.unexpected_values"))
+    return reports.report_values(spark, folder).join(named, ["run", "position"]).select("position", "n_values", "value", "rows")
+
+
 # --- streaming --------------------------------------------------------------------------
 
 _EVENTS_SQL = "SELECT event_id, ts, user_id, event_type, value, props FROM events"
@@ -1149,20 +1173,48 @@ def stream_silver(spark: Spark, sf: str) -> Frame:
     """SELECT weather_date, city_name, temp_max, rain_sum FROM weather WHERE city_name IN (SELECT city FROM raw)"""
 )
 def backfill_gaps(spark: Spark, sf: str) -> Frame:
-    """Weather for the cities of the bookings, in two rounds; a third adds nothing."""
-    want = raw(spark, sf, ["city"]).filter("city IS NOT NULL").distinct()
-    answers = B.daily_weather(spark, sf)
+    """Weather for the cities of the bookings in rounds: some never asked for, some answers cut off.
+
+    The second round asks for what has no rows, failed answers included; a third adds nothing.
+    """
+    want = stage_table(raw(spark, sf, ["city"]).filter("city IS NOT NULL").distinct(), "want")
+    _, answers = _answers(B.daily_rates(spark, sf), B.daily_weather(spark, sf))
+    answers = stage_table(answers, "answers")
+    cut_off = F.col("city").like("%1")
+    payload = F.when(cut_off, F.left("payload", F.length("payload") - 1)).otherwise(F.col("payload"))
+    given = answers.filter(F.col("city") < "CITY 2").withColumn("payload", payload)
     name, path = _name("weather"), workspace(spark, "weather")
-    first = answers.filter(F.col("city_name") < "CITY 2").join(
-        want, F.col("city_name") == F.col("city"), "left_semi"
-    )
-    table = tables.write_table(first, name, path=path)
+    table = load_weather(given, want, name, path)
+    failed = stage_table(payloads.weather_failures(given, "city", "payload"), "failed")
     for _ in range(2):
-        new = backfill.backfill(want, table, answers, {"city": "city_name"})
-        table = tables.write_table(stage_table(new, "round"), name, "append", path=path)
+        asked = stage_table(backfill.to_ask(want, table, failed, {"city": "city_name"}, "city"), "asked")
+        table = load_weather(answers.join(asked, "city", "left_semi"), want, name, path)
     return table
 
 
+_FAILED = """CASE WHEN k % 11 = 0 THEN 'missing' WHEN k % 5 = 0 THEN 'not json' WHEN k % 7 = 0 THEN 'no data'
+  WHEN k % 13 = 0 THEN 'no rows' END"""
+
+
+@query(
+    f"SELECT booking_id, reason FROM (SELECT booking_id, {_FAILED} AS reason FROM raw) WHERE reason IS NOT NULL"
+)
+def failed_answers(spark: Spark, sf: str) -> Frame:
+    """Forecast answers of bookings that gave no rows: none came, cut off, an error, or without days."""
+    day = F.col("l_shipdate").cast("date").cast("string")
+    days = F.when(F.col("k") % 13 == 0, F.array().cast("array<string>")).otherwise(F.array(day))
+    daily = F.struct(days.alias("time"), F.array(F.lit(1.5)).alias("temperature_2m_max"), F.array(F.lit(0.0)).alias("rain_sum"))
+    whole = F.to_json(F.struct(daily.alias("daily")))
+    payload = (
+        F.when(F.col("k") % 11 == 0, F.lit(None).cast("string"))
+        .when(F.col("k") % 5 == 0, F.left(whole, F.length(whole) - 1))
+        .when(F.col("k") % 7 == 0, F.lit('{"error":true,"reason":"limit"}'))
+        .otherwise(whole)
+    )
+    answers = raw(spark, sf, ["booking_id"], keep=["k", "l_shipdate"]).select("booking_id", payload.alias("payload"))
+    return payloads.weather_failures(answers, "booking_id", "payload").select("booking_id", "reason")
+
+
 _CURRENCY = "booking_id, country_name, currency_code_map, round(effective_rate, 6) AS effective_rate, " + _USD
 
 

@@ -9,8 +9,8 @@ from pyspark.sql import functions as F
 from stayledger.operators import aggregates, geo, joins, quality, sets
 from stayledger.plans import backfill, enrich, star
 from stayledger.plans import measures as m
-from stayledger.sources import files, tables
-from stayledger.sources.reports import write_report
+from stayledger.sources import files, payloads, tables
+from stayledger.sources.reports import report_values, write_report
 from stayledger.schemas import text_schema
 from stayledger.streaming import landing
 from stayledger.streaming.replay import replay
@@ -256,3 +256,36 @@ def test_unreadable_events_are_kept(spark):
     df = spark.createDataFrame([('{"a": 1}',), ('{"a": ',), ('{"a": 2, "new": 3}',)], "value string")
     got = rows(landing.parse_events(df, spark.createDataFrame([], "a int").schema))
     assert got == [(1, None), (2, None), (None, '{"a": ')]
+
+
+def test_report_keeps_all_values(spark, tmp_path):
+    """The document lists the most frequent ones, the table beside it has all."""
+    df = spark.range(300).select((F.col("id") % 100).cast("string").alias("booking_id"))
+    suite = [quality.expect_unique("booking_id")]
+    results, values = quality.run_suite(df, suite), quality.unexpected_values(df, suite)
+    folder = str(tmp_path / "reports")
+    shape = "run string, unexpected_values array<struct<n_values:bigint,values:array<struct<value:string,rows:bigint>>>>"
+    document = write_report(results, folder, values, listed=3).select(F.from_json("value", shape).alias("d")).first()["d"]
+    listed = document["unexpected_values"][0]
+    assert listed["n_values"] == 100 and [v["value"] for v in listed["values"]] == ["0", "1", "10"]
+    assert report_values(spark, folder, document["run"]).count() == 100
+    write_report(results, folder, values, limit=7)
+    assert report_values(spark, folder).count() == 107
+
+
+def test_failed_answers_have_a_reason(spark):
+    good = '{"daily":{"time":["2024-01-01"],"temperature_2m_max":[1.5],"rain_sum":[0]}}'
+    answers = [("a", good), ("b", None), ("c", " "), ("d", good[:-1]), ("e", '{"error":true}'),
+               ("f", '{"daily":{"time":[]}}'), ("g", '{"daily":{"time":["soon"]}}'), ("h", "[]")]
+    df = spark.createDataFrame(answers, "city string, payload string")
+    got = {r["city"]: r["reason"] for r in payloads.weather_failures(df, "city", "payload").collect()}
+    assert got == {"b": "missing", "c": "missing", "d": "not json", "e": "no data", "f": "no rows", "g": "no rows", "h": "no data"}
+    rates = [("a", '{"rates":{"2024-01-01":{"EUR":0.9}}}'), ("b", '{"rates":{}}'), ("c", '{"rates":{"2024-01-01":{}}}'), ("d", "{")]
+    df = spark.createDataFrame(rates, "id string, payload string")
+    got = {r["id"]: r["reason"] for r in payloads.rates_failures(df, "payload", "id").collect()}
+    assert got == {"b": "no rows", "c": "no rows", "d": "not json"}
+    want = spark.createDataFrame([("a",), ("d",), ("x",)], "city string")
+    have = spark.createDataFrame([("a",)], "city_name string")
+    failed = spark.createDataFrame([("d", "not json"), ("a", "missing")], "city string, reason string")
+    asked = backfill.to_ask(want, have, failed, {"city": "city_name"}, "city")
+    assert {tuple(r) for r in asked.collect()} == {("d", "not json"), ("x", None)}
