@@ -9,6 +9,10 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 
+# Below the shared folder, apart from what others keep there.
+STAGED = "stayledger"
+
+
 def shared_folder(spark: SparkSession) -> str:
     """The folder of ``spark.checkpoint.dir``; a fresh one only on a local master."""
     context = spark.sparkContext
@@ -24,7 +28,7 @@ def shared_folder(spark: SparkSession) -> str:
 
 def workspace(spark: SparkSession, label: str) -> str:
     """Path of a new, not yet existing folder inside the shared folder."""
-    return f"{shared_folder(spark)}/stayledger/{label}-{uuid.uuid4().hex}"
+    return f"{shared_folder(spark)}/{STAGED}/{label}-{uuid.uuid4().hex}"
 
 
 def stage_table(df: DataFrame, label: str) -> DataFrame:
@@ -32,3 +36,35 @@ def stage_table(df: DataFrame, label: str) -> DataFrame:
     path = workspace(df.sparkSession, label)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def _file_system(spark: SparkSession, path: str):
+    """The store behind a path, as Spark itself reaches it, and the path there."""
+    context = spark.sparkContext
+    place = context._jvm.org.apache.hadoop.fs.Path(path)
+    return place.getFileSystem(context._jsc.hadoopConfiguration()), place
+
+
+def folders(spark: SparkSession, path: str) -> list[str]:
+    """Names of the folders in a folder."""
+    store, place = _file_system(spark, path)
+    return [s.getPath().getName() for s in store.listStatus(place) if s.isDirectory()]
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    """Remove a folder and what is in it."""
+    store, place = _file_system(spark, path)
+    store.delete(place, True)
+
+
+def forget_staged(spark: SparkSession) -> int:
+    """Remove all tables that operators staged in the shared folder, and say how many.
+
+    For programs that have stored their results: frames that still scan staged tables end.
+    """
+    base = f"{shared_folder(spark)}/{STAGED}"
+    store, place = _file_system(spark, base)
+    found = folders(spark, base) if store.exists(place) else []
+    for name in found:
+        remove(spark, f"{base}/{name}")
+    return len(found)

@@ -289,3 +289,37 @@ def test_failed_answers_have_a_reason(spark):
     failed = spark.createDataFrame([("d", "not json"), ("a", "missing")], "city string, reason string")
     asked = backfill.to_ask(want, have, failed, {"city": "city_name"}, "city")
     assert {tuple(r) for r in asked.collect()} == {("d", "not json"), ("x", None)}
+
+
+def test_failed_overwrite_keeps_the_table(spark, tmp_path):
+    path = str(tmp_path / "kept")
+    tables.write_table(spark.range(5), "kept_table", path=path)
+    broken = spark.range(8).select(F.when(F.col("id") == 7, F.raise_error(F.lit("lost")).cast("long")).otherwise(F.col("id")).alias("n"))
+    with pytest.raises(Exception, match="lost"):
+        tables.write_table(broken, "kept_table", path=path)
+    assert spark.table("kept_table").count() == 5
+    # From the table itself, with another schema and partitions.
+    table = tables.write_table(
+        spark.table("kept_table").select(F.col("id").cast("string").alias("n"), (F.col("id") % 2).alias("odd")),
+        "kept_table", path=path, partition_by=["odd"],
+    )
+    assert {(r["n"], r["odd"]) for r in table.collect()} == {(str(i), i % 2) for i in range(5)}
+    assert tables.drop_versions(spark, "kept_table") == 2 and spark.table("kept_table").count() == 5
+    tables.write_table(spark.createDataFrame([("9", 1)], "n string, odd long"), "kept_table", "append", path=path)
+    assert spark.table("kept_table").where("odd = 1").count() == 3
+
+
+def test_staged_tables_can_be_removed(tmp_path):
+    """In a session of its own folder, so that other tests keep theirs."""
+    from unittest.mock import patch
+
+    from pyspark.sql import SparkSession
+
+    from stayledger import storage
+
+    spark = SparkSession.getActiveSession()
+    with patch.object(storage, "shared_folder", lambda _: str(tmp_path)):
+        assert storage.forget_staged(spark) == 0
+        staged = storage.stage_table(spark.range(3), "some")
+        assert staged.count() == 3 and storage.forget_staged(spark) == 1
+        assert list((tmp_path / storage.STAGED).iterdir()) == []
