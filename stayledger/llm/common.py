@@ -6,8 +6,9 @@ installed libraries but not this package.
 
 from __future__ import annotations
 
+import pickle
 import sys
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 
 import pyarrow as pa
 from pyspark import cloudpickle
@@ -23,6 +24,19 @@ cloudpickle.register_pickle_by_value(sys.modules[__package__])
 CHUNK_BYTES = 4 << 20
 
 
+def sent_to_workers(spark: SparkSession, value) -> Callable[[], object]:
+    """A value that workers get by one broadcast, whatever its class; the result gives it there."""
+    data = spark.sparkContext.broadcast(cloudpickle.dumps(value))
+    opened = []
+
+    def get():
+        if not opened:
+            opened.append(pickle.loads(data.value))
+        return opened[0]
+
+    return get
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
