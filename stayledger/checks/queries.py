@@ -18,6 +18,7 @@ from stayledger.checks.inputs import (
     keyed,
     lookups,
     raw,
+    reference,
     rounded,
     silver,
     star,
@@ -28,7 +29,7 @@ from stayledger.functions import dates, numbers, text
 from stayledger.operators import aggregates, geo, quality, sets
 from stayledger.operators import columns as ops
 from stayledger.operators.joins import missing_keys
-from stayledger.plans import backfill, dashboard, enrich
+from stayledger.plans import backfill, dashboard, enrich, increments
 from stayledger.plans import measures as m
 from stayledger.plans import star as models
 from stayledger.plans.reference import load_rates, load_weather
@@ -1290,6 +1291,20 @@ def _answers(rates: Frame, weather: Frame) -> tuple[Frame, Frame]:
     return rate_answers, cities.select("city", F.to_json(F.struct(daily.alias("daily"))).alias("payload"))
 
 
+@query(f"SELECT * EXCLUDE (k) REPLACE (round(effective_rate, 6) AS effective_rate, {_USD}) FROM gold")
+def gold_by_day(spark: Spark, sf: str) -> Frame:
+    """Gold kept by booking day: first with other prices on the days of one month, then refreshed for these days."""
+    rows = stage_table(raw(spark, sf), "raw")
+    none, known, folder = rows.limit(0), lookups(spark, sf), workspace(spark, "days")
+    rates, weather = reference(spark, sf)
+    day = increments.booking_day(rows, B.LAST_YEAR)
+    price = F.when(F.month(day) == 5, F.lit("1.5")).otherwise(F.col("total_price"))
+    for version in (rows.withColumn("total_price", price), rows):
+        silver_days = increments.silver_by_day(version, none, known, f"{folder}/silver", B.LAST_YEAR)
+        gold_days = increments.gold_by_day(silver_days, rates, weather, f"{folder}/gold")
+    return rounded(gold_days.rows, effective_rate=6, total_price_usd=6)
+
+
 def _flow(spark: Spark, sf: str, folder: str, suffix: str):
     """CSV batch, JSON stream and the services' answers to the star."""
     columns = list(B.BOOKING_COLUMNS)

@@ -51,6 +51,11 @@ def folders(spark: SparkSession, path: str) -> list[str]:
     return [s.getPath().getName() for s in store.listStatus(place) if s.isDirectory()]
 
 
+def exists(spark: SparkSession, path: str) -> bool:
+    store, place = _file_system(spark, path)
+    return store.exists(place)
+
+
 def remove(spark: SparkSession, path: str) -> None:
     """Remove a folder and what is in it."""
     store, place = _file_system(spark, path)
@@ -63,8 +68,7 @@ def forget_staged(spark: SparkSession) -> int:
     For programs that have stored their results: frames that still scan staged tables end.
     """
     base = f"{shared_folder(spark)}/{STAGED}"
-    store, place = _file_system(spark, base)
-    found = folders(spark, base) if store.exists(place) else []
+    found = folders(spark, base) if exists(spark, base) else []
     for name in found:
         remove(spark, f"{base}/{name}")
     return len(found)
