@@ -59,14 +59,14 @@ STRONG, CLOSE = 0.5, 0.9
 INSERTED = 0.1
 OTHER_LANDMARKS = 32
 # So many sentences of a sampled document, the most landmark-like, bound the training sample.
-SAMPLE_SENTENCES = 6
+SAMPLE_SENTENCES = 4
 FOLDS = 4
 DOCUMENT_RIDGE = 0.003
 MIN_UNIT, LONGEST_UNIT = 3, 24
 # A worker forgets words it has seen beyond so many.
-REMEMBERED = 150_000
+REMEMBERED = 50_000
 # It looks at so many bytes of text at once.
-CHUNK_BYTES = 1 << 20
+CHUNK_BYTES = 1 << 19
 
 _NOT_LETTER = re.compile(r"[\W\d_]+")
 
@@ -204,7 +204,7 @@ class Eye:
         split = [windows(u) for u in units]
         sizes = np.array([len(x) for x in split])
         parts = [w for x in split for w in x]
-        values = np.concatenate([self.kernel.values(parts[a : a + 1024]) for a in range(0, len(parts), 1024)])
+        values = np.concatenate([self.kernel.values(parts[a : a + 256]) for a in range(0, len(parts), 256)])
         if len(parts) > len(units):
             values = np.maximum.reduceat(values, np.cumsum(sizes) - sizes, axis=0)
         return values
@@ -472,6 +472,7 @@ def train(
     y, doc = label_of[row], name[row]
     project = nystroem(Eye(landmarks))
     z, start = x @ project, x[:, :toxic].max(1) if len(x) else np.zeros(0)
+    del x
     # A document's inputs have the margin that machines give which have not seen it.
     held = np.full(len(y), np.nan)
     for fold in range(FOLDS):
