@@ -85,3 +85,14 @@ def test_a_failure_before_the_marks_writes_the_days_again(flow, monkeypatch):
         with pytest.raises(ZeroDivisionError):
             run(changed)
     assert run(changed) == ([], ["2024-01-03"])
+
+
+def test_a_day_has_one_file_however_many_tasks_hold_its_rows(spark, tmp_path):
+    rows = spark.range(0, 800, 1, 8).select(
+        F.expr("date_add(date'2024-01-01', int(id % 20))").alias("booking_date"), F.col("id").cast("string").alias("x")
+    )
+    nothing = spark.createDataFrame([], "booking_date date, gone boolean")
+    days = increments.Days(spark, str(tmp_path / "layer"))
+    days.write(rows, nothing, increments.marks(rows, F.xxhash64("x")))
+    found = [len(list(d.glob("part-*"))) for d in (tmp_path / "layer" / "days").iterdir() if "=" in d.name]
+    assert found == [1] * 20 and days.read(rows.schema).count() == 800
