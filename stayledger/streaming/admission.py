@@ -7,7 +7,11 @@ is read to decide. What a batch consists of is written down before its offset is
 out, in a log of one small file for each batch; the offset is the number of the last one. So
 a batch that runs again has the same files, and a restart finds files admitted before it.
 
-Each file is a partition of its batch, read by a task as Arrow batches. The folder and the
+Where more waits than one batch needs, several are admitted at once, each with its own entry
+and number: Spark lands them together, as ``batch_id`` tells them apart. So a backlog takes
+as many jobs as there are groups of ``MOST_BATCHES``, not one for each batch.
+
+Each batch is a partition, read by a task as Arrow batches. The folder and the
 log must be reachable for the driver and all executors under the same address.
 """
 
@@ -17,6 +21,7 @@ import json
 import sys
 import time
 from collections.abc import Callable, Iterator
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
 import pyarrow as pa
@@ -34,7 +39,11 @@ from stayledger.sources.events import to_events
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 FORMAT = "landing_rule"
-EVENT = "value string"
+EVENT = "value string, batch_id int"
+# Batches that may be admitted at once.
+MOST_BATCHES = 200
+# Footers that are read at a time.
+FOOTERS = 16
 
 
 def opened(address: str) -> tuple[pafs.FileSystem, str]:
@@ -77,8 +86,9 @@ class AdmissionLog:
 
 
 @dataclass
-class EventFile(InputPartition):
-    path: str
+class EventFiles(InputPartition):
+    paths: list[str]
+    batch_id: int
 
 
 class LandingReader(DataSourceStreamReader):
@@ -110,23 +120,30 @@ class LandingReader(DataSourceStreamReader):
         if self.state is None:
             self._restore()
         files, folder = opened(self.address)
-        for path in listed(files, folder):
-            if path not in self.admitted and path not in self.waiting:
-                with files.open_input_file(path) as file:
-                    self.waiting[path] = pq.read_metadata(file).num_rows
+        new = [p for p in listed(files, folder) if p not in self.admitted and p not in self.waiting]
+
+        def rows(path: str) -> int:
+            with files.open_input_file(path) as file:
+                return pq.read_metadata(file).num_rows
+
+        with ThreadPoolExecutor(FOOTERS) as pool:
+            self.waiting.update(zip(new, pool.map(rows, new), strict=True))
         if not self.waiting:
             self.since = None
             return {"batch": self.last}
         now = self.clock()
         self.since = now if self.since is None else self.since
-        enough = sum(self.waiting.values()) >= self.min_rows
-        if enough or self.ending or now - self.since >= self.max_seconds:
-            self._admit()
-            self.since = now if self.waiting else None
+        left, late = sum(self.waiting.values()), now - self.since >= self.max_seconds
+        for _ in range(MOST_BATCHES):
+            if not self.waiting or not (left >= self.min_rows or self.ending or late):
+                break
+            left -= self._admit()
+            # The clock of those left runs from here.
+            self.since, late = now if self.waiting else None, False
         return {"batch": self.last}
 
-    def _admit(self) -> None:
-        """Files in their order until there are enough rows, or all."""
+    def _admit(self) -> int:
+        """Admit files in their order until there are enough rows, or all, and say how many rows."""
         chosen, rows = [], 0
         for path, n in self.waiting.items():
             if rows >= self.min_rows:
@@ -138,16 +155,19 @@ class LandingReader(DataSourceStreamReader):
         self.admitted.update(chosen)
         for path in chosen:
             del self.waiting[path]
+        return rows
 
-    def partitions(self, start: dict, end: dict) -> list[EventFile]:
+    def partitions(self, start: dict, end: dict) -> list[EventFiles]:
         log = AdmissionLog(self.log_address)
-        return [EventFile(p) for n in range(start["batch"] + 1, end["batch"] + 1) for p in log.read(n)]
+        return [EventFiles(log.read(n), n - 1) for n in range(start["batch"] + 1, end["batch"] + 1)]
 
-    def read(self, partition: EventFile) -> Iterator[pa.RecordBatch]:
+    def read(self, partition: EventFiles) -> Iterator[pa.RecordBatch]:
         files, _ = opened(self.address)
-        with files.open_input_file(partition.path) as file:
-            for batch in pq.ParquetFile(file).iter_batches(columns=["value"]):
-                yield pa.RecordBatch.from_arrays([batch.column(0).cast(pa.string())], names=["value"])
+        for path in partition.paths:
+            with files.open_input_file(path) as file:
+                for batch in pq.ParquetFile(file).iter_batches(columns=["value"]):
+                    number = pa.array([partition.batch_id] * batch.num_rows, pa.int32())
+                    yield pa.RecordBatch.from_arrays([batch.column(0).cast(pa.string()), number], names=["value", "batch_id"])
 
 
 class LandingRule(DataSource):
