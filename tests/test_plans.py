@@ -216,3 +216,31 @@ def test_replaced_selection_on_a_dimension(stored_star):
     assert df.first()["share"] == rome / oslo and df.first()["total_bookings"] == 15
     by_city = {r["hotels_city"]: r["share"] for r in measures.evaluate(stored_star, ["hotels.city"], [share]).collect()}
     assert by_city["OSLO"] == 1 and by_city["ROME"] == rome / oslo
+
+
+def test_a_gold_table_of_few_columns_is_enough_for_models(spark, monkeypatch):
+    """Charts do not pay for cleaning and storing dozens of columns they never read."""
+    monkeypatch.setattr(inputs, "_STORED", {})
+    few = inputs.gold_table(spark, SF, "booking_status")
+    assert "booking_status" in few.columns and not {"website", "email", "address"} & set(few.columns)
+    wanted = [measures.total_revenue(), measures.cancellation_rate()]
+    fact = ["booking_id", "booking_status", "total_price_usd", "hotel_id"]
+    by_few = measures.evaluate(inputs.star(spark, SF, fact, "hotels"), ["hotels.city"], wanted)
+    whole = star.build_star(inputs.gold_table(spark, SF))
+    rounded = lambda df: sorted(map(repr, inputs.rounded(df, total_revenue=2, cancellation_rate=6).collect()))
+    assert rounded(by_few) == rounded(measures.evaluate(whole, ["hotels.city"], wanted))
+
+
+def test_buckets_grow_with_the_facts_and_months_have_one_file_each(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(star, "BUCKET_ROWS", 100)
+    rows = spark.range(0, 1200, 1, 8).select(
+        F.col("id").cast("string").alias("booking_id"), F.col("id").cast("string").alias("customer_id"),
+        F.expr("date_add(date'2024-01-01', int(id % 60))").alias("booking_date"),
+    )
+    dims = spark.createDataFrame([("h", "c", None)], "hotel_id string, customer_id string, date_key date")
+    made = star.store_star(star.Star(rows, dims, dims, dims), "plan_grown", str(tmp_path / "s"), buckets=4)
+    described = spark.sql("DESCRIBE EXTENDED plan_grown_fct_bookings").collect()
+    assert {"Num Buckets": "12"}.items() <= {r[0]: r[1] for r in described}.items() and made.fact.count() == 1200
+    months = [p for p in (tmp_path / "s" / "fct_bookings").iterdir() if "=" in p.name]
+    # Each file is of one bucket, and none has two.
+    assert len(months) == 2 and all(len(list(m.glob("part-*"))) == 12 for m in months)
