@@ -121,3 +121,17 @@ def test_rates(spark):
     assert tuple(both) == (40.0, 2.5)
     with pytest.raises(ValueError):
         numbers.convert(F.lit(1.0), F.lit(1.0), "other")
+
+
+def test_dates_read_by_cast_and_by_parser(spark):
+    """Text as long as its layout is cast, longer years are parsed; both refuse what is no date."""
+    texts = {
+        "2024-02-29": "2024-02-29", "2023-02-29": None, "02/03/2024": "2024-02-03", "13/03/2024": "2024-03-13",
+        "02/30/2024": None, "2024/12/31": "2024-12-31", "2024/12-31": None, "2024-1-05 ": None, "0000-01-01": "0000-01-01",
+        "+12345-01-02": "+12345-01-02", "2024-06-01x": None, "": None, None: None,
+    }
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, t string")
+    got = df.select("i", dates.parse_date(F.col("t")).cast("string").alias("d")).orderBy("i").collect()
+    assert [r["d"] for r in got] == list(texts.values())
+    plan = df.select(dates.parse_date(F.col("t")).alias("d"))._jdf.queryExecution().optimizedPlan().toString()
+    assert "cast(t" in plan and "concat(substring(t" in plan

@@ -244,3 +244,31 @@ def test_buckets_grow_with_the_facts_and_months_have_one_file_each(spark, tmp_pa
     months = [p for p in (tmp_path / "s" / "fct_bookings").iterdir() if "=" in p.name]
     # Each file is of one bucket, and none has two.
     assert len(months) == 2 and all(len(list(m.glob("part-*"))) == 12 for m in months)
+
+
+def _optimized(df):
+    return df._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_cleaning_steps_are_not_repeated_for_each_mention(spark):
+    row = ("!2000-01-02", "03/04/2001", " five", "")
+    df = spark.createDataFrame([row], "booking_date string, checkin_date string, star_rating string, hotel_type string")
+    cleaned = silver.clean_stateless(df, 2025)
+    assert [str(v) for v in cleaned.first()] == ["2000-01-02", "2001-03-04", "5", "Unknown"]
+    plan = _optimized(cleaned)
+    # Four layouts of two dates, ten words of one rating, the edges of three columns.
+    assert plan.count("try_to_date") == 8
+    assert plan.count("replace(") - plan.count("regexp_replace(") == 10
+    assert plan.count("regexp_replace(") == 3
+
+
+def test_places_may_be_seen_in_a_narrower_frame(spark):
+    rows = [("h1", "a", "X", None, "1"), ("h2", "a", None, "Y", "2"), ("null", "a", "B", "B", "3"), ("h3", None, "Z", None, "4")]
+    raw = spark.createDataFrame(rows, "hotel_id string, hotel_name string, city string, country string, total_price string")
+    known = silver.Lookups(
+        spark.createDataFrame([("Z", "W")], "city string, country string"),
+        spark.createDataFrame([("W", "Z")], "country string, capital string"),
+    )
+    whole = silver.clean_bookings(raw, known).collect()
+    narrow = silver.clean_bookings(raw, known, hotels=raw.drop("total_price")).collect()
+    assert sorted(whole) == sorted(narrow) and len(narrow) == 3
