@@ -272,3 +272,22 @@ def test_places_may_be_seen_in_a_narrower_frame(spark):
     whole = silver.clean_bookings(raw, known).collect()
     narrow = silver.clean_bookings(raw, known, hotels=raw.drop("total_price")).collect()
     assert sorted(whole) == sorted(narrow) and len(narrow) == 3
+
+
+def test_raw_bookings_write_each_date_and_country_once(spark, tmp_path):
+    made = {
+        "lineitem": "1L l_orderkey, 1 l_linenumber, 3L l_suppkey, 2.0 l_quantity, 9.5 l_extendedprice, 0.1 l_discount,"
+                    " 0.2 l_tax, 'A' l_returnflag, 'O' l_linestatus, date'2001-02-03' l_shipdate",
+        "orders": "1L o_orderkey, 2L o_custkey, 'F' o_orderstatus, date'2000-05-06' o_orderdate, 'HIGH' o_orderpriority",
+        "supplier": "3L s_suppkey, 's3' s_name, 9 s_nationkey",
+        "customer": "2L c_custkey, 'c2' c_name, 24 c_nationkey, 'AUTO' c_mktsegment",
+    }
+    for name, columns in made.items():
+        spark.sql(f"SELECT {columns}").write.parquet(f"{tmp_path}/{name}.parquet")
+    columns = ["checkin_date", "review_date", "stay_date", "created_at", "updated_timestamp", "country", "country_customer"]
+    df = B.raw_bookings(spark, str(tmp_path), columns)
+    row = df.first()
+    assert (row["checkin_date"], row["review_date"], row["created_at"]) == ("2001-02-03", "02/03/2001", "2000-05-06")
+    assert (row["country"], row["country_customer"], row["updated_timestamp"]) == ("FRANCE", "ATLANTIS", "#2001-02-03 09:30:00")
+    plan = _optimized(df)
+    assert plan.count("(l_shipdate") == 1 and plan.count("FRANCE") + plan.count("france") == 2
