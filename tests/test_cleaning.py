@@ -10,6 +10,7 @@ from stayledger.operators import columns as ops
 from stayledger.operators import geo
 from stayledger.plans.silver import clean_stateless, cleaned_places
 from stayledger.session import COMPILED_METHOD_BYTES
+from stayledger.streaming import places
 
 
 def test_cleaning_code_stays_small_enough_to_be_compiled(spark, tmp_path, capsys):
@@ -37,3 +38,12 @@ def test_places_are_cleaned_once_a_text_and_only_with_a_key(spark):
     raw = spark.createDataFrame(rows, "hotel_id string, hotel_name string, city string, country string")
     seen = geo.place_keys(cleaned_places(raw)).collect()
     assert set(map(tuple, seen)) == {("Unknown", "", "E"), ("X", "C", None)} and len(seen) == 2
+
+
+def test_a_batch_without_new_places_adds_no_folder_of_places(spark, tmp_path):
+    rows = spark.createDataFrame([("H", "C", "E"), (None, "C", None)], "hotel_name string, city string, country string")
+    places.start_places(rows.limit(1), str(tmp_path))
+    for number, batch in enumerate([rows.limit(1), rows, rows]):
+        places.add_batch(batch, str(tmp_path), number)
+    assert sorted(p.name for p in (tmp_path / "places").glob("batch_id=*")) == ["batch_id=-1", "batch_id=1"]
+    assert set(map(tuple, places.seen_places(spark, str(tmp_path)).collect())) == set(map(tuple, rows.collect()))
