@@ -21,8 +21,8 @@ over adaptive steps does not depend on their order, so these tokens need their c
 All counts are taken over all training texts. Counts of tokens grow with the corpus; the
 tables of contexts grow up to a bound (``mixing.MOST_SLOT_BITS``). The spelling counts each
 distinct token once, as unknown tokens are new ones. Weights and maps are learnt online,
-each token left out of the counts while predicted, on one in ``LEARN_SHARE`` of training
-texts and of distinct tokens, drawn by a hash, and averaged over the parts.
+each token left out of the counts while predicted, on all training texts and all distinct
+tokens, and averaged over the parts.
 
 Defined results: a missing or empty text is its end alone; equal rows get equal results;
 without training texts all counts are 0. Only the id and the text of the documents are used.
@@ -54,8 +54,6 @@ PLACES = 8
 GATES = PLACES * 8
 PRIOR = 0.4
 STEP = 0.05
-# Weights are learnt on one in so many training texts and distinct tokens.
-LEARN_SHARE = 8
 BATCH_WORDS = 4096
 LONG_WORD = 256
 # Words with a code, which every task holds: at most so many, of at most so many bytes each.
@@ -133,6 +131,11 @@ def bit_steps(words: list[bytes]) -> Iterator[tuple[int, np.ndarray, np.ndarray,
         whole[:k] = (whole[:k] + byte + np.uint64(1)) * _B
 
 
+def taken(table: np.ndarray, slots: np.ndarray) -> np.ndarray:
+    """Each predictor's values at its slots."""
+    return np.stack([np.take(row, at) for row, at in zip(table, slots)])
+
+
 @dataclass
 class Speller:
     """Trained predictors, weights and map: log10 probability of spelled tokens."""
@@ -143,11 +146,10 @@ class Speller:
 
     def log10(self, words: list[bytes]) -> np.ndarray:
         out = np.zeros(len(words))
-        row = np.arange(PREDICTORS)[:, None]
         for numbers, batch in spelled(words):
             total = np.zeros(len(batch))
             for k, slots, bit, node, gate in bit_steps(batch):
-                x = self.weights[gate] @ self.inputs[row, slots]
+                x = self.weights[gate] @ taken(self.inputs, slots)
                 p = self.refiner.refine(x, node)
                 total[:k] += np.log10(np.where(bit == 1, p, 1 - p))
             out[numbers] = total
@@ -184,19 +186,21 @@ def context_counts(words: DataFrame) -> tuple[np.ndarray, np.ndarray]:
     size = PREDICTORS * SLOTS
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen = [np.zeros(size, np.int64), np.zeros(size, np.int64)]
+        # Zeros and ones of a slot side by side.
+        seen = np.zeros(2 * size, np.int32)
         offset = np.arange(PREDICTORS)[:, None] * SLOTS
         for batch in batches:
             for _, part in spelled(batch.column("word").to_pylist()):
                 for _, slots, bit, _, _ in bit_steps(part):
-                    at = slots + offset
-                    for value in (0, 1):
-                        np.add.at(seen[value], at[:, bit == value].ravel(), 1)
-        some = np.flatnonzero(seen[0] + seen[1])
+                    for at in ((slots + offset) << 1) + bit:
+                        np.add.at(seen, at, np.int32(1))
+        seen = seen.reshape(-1, 2)
+        some = np.flatnonzero(seen[:, 0] | seen[:, 1])
         for a in range(0, len(some), 1 << 16):
             i = some[a : a + (1 << 16)]
             yield pa.RecordBatch.from_arrays(
-                [pa.array(i.astype(np.int32)), pa.array(seen[0][i]), pa.array(seen[1][i])], ["slot", "zeros", "ones"]
+                [pa.array(i.astype(np.int32)), *(pa.array(seen[i, bit].astype(np.int64)) for bit in (0, 1))],
+                ["slot", "zeros", "ones"],
             )
 
     found = words.select("word").mapInArrow(run, "slot int, zeros long, ones long")
@@ -212,14 +216,17 @@ def learn_online(batches: Iterator[list[bytes]], zeros: np.ndarray, ones: np.nda
     """One online pass over tokens that are in the counts; each is left out while predicted."""
     weights = np.full((GATES, PREDICTORS), 0.3)
     slopes = np.full((GATES, PREDICTORS), 1e-4)
-    refiner, row, n = Refiner(256), np.arange(PREDICTORS)[:, None], 0
+    refiner, n = Refiner(256), 0
+    # What a bit's own count and the prior add to zeros and ones.
+    less = np.array([[PRIOR - 1, PRIOR], [PRIOR, PRIOR - 1]], np.float32)
+    # Both counts of a slot side by side, looked up at once.
+    both = np.stack([zeros, ones], -1).astype(np.float32).view(np.int64)[..., 0]
     for words in batches:
         for _, part in spelled(words):
             n += len(part)
             for k, slots, bit, node, gate in bit_steps(part):
-                one = ones[row, slots] - bit + PRIOR
-                zero = zeros[row, slots] - (1 - bit) + PRIOR
-                inputs = np.log(one) - np.log(zero)
+                counts = np.log(taken(both, slots).view(np.float32).reshape(*slots.shape, 2) + less[bit])
+                inputs = counts[..., 1] - counts[..., 0]
                 x = weights[gate] @ inputs
                 slope = inputs @ (bit - squash(x)) / k
                 slopes[gate] += slope * slope
@@ -245,8 +252,7 @@ def train_speller(words: DataFrame) -> Speller:
         )
 
     # The same number of values from each part; as many rows in the end.
-    some = words.select("word").where(F.pmod(F.xxhash64("word"), F.lit(LEARN_SHARE)) == 0)
-    learnt = some.mapInArrow(run, "at int, value double").groupBy("at").agg(F.sum("value").alias("value"))
+    learnt = words.select("word").mapInArrow(run, "at int, value double").groupBy("at").agg(F.sum("value").alias("value"))
     total = np.zeros(GATES * PREDICTORS + 2 * cells + 1)
     for r in learnt.collect():
         total[r["at"]] = r["value"]
@@ -289,8 +295,7 @@ def score(docs: DataFrame, training: Column, doc_id: str = "doc_id", text: str =
     often_c = np.array(counts, float)
     n_other, v_other = n - sum(counts), v - len(counts)
     speller = common.sent_to_workers(docs.sparkSession, train_speller(words))
-    learnt_from = taught.where(F.pmod(F.xxhash64("doc_id", "text"), F.lit(LEARN_SHARE)) == 0)
-    model = mixing.train(taught, mixing.Code(names, counts, n_other + v_other + 1), n, learnt_from)
+    model = mixing.train(taught, mixing.Code(names, counts, n_other + v_other + 1), n, taught)
     mixer = common.sent_to_workers(docs.sparkSession, model)
     log_all, log_other = math.log10(n + v + 1), math.log10(n_other + v_other + 1)
     log_new = math.log10(v_other + 1) - log_other
@@ -306,7 +311,7 @@ def score(docs: DataFrame, training: Column, doc_id: str = "doc_id", text: str =
         """Per row its sums over tokens with a code, and a row for each other word."""
         base = log_base(often_c)
         for whole in batches:
-            for batch in common.chunks(whole, "text"):
+            for batch in common.chunks(whole, "text", mixing.PIECE_BYTES):
                 n_rows = batch.num_rows
                 found = mixer().code.read(common.byte_texts(batch))
                 coded = found.ids < len(base)

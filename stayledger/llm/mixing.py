@@ -22,6 +22,7 @@ import zlib
 from collections import Counter
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
+from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
@@ -40,7 +41,13 @@ PRIOR = 0.4
 STEP = 0.05
 MAP_CELLS, MAP_START = 33, 20.0
 # Tokens whose bits are predicted side by side, in scoring and while learning.
-SLICE, LEARN_SLICE = 1 << 16, 1 << 11
+SLICE, LEARN_SLICE = 1 << 14, 1 << 14
+# A worker's arrays for a piece of text take some fifty times its bytes, so pieces are small.
+PIECE_BYTES = 1 << 20
+# Codes stand at the upper end of so many bits.
+CODE_BITS = 62
+# Bits of a token whose probabilities are multiplied before their logarithm is taken.
+PRODUCT_BITS = 16
 # A task counts contexts of at least so many tokens, where the input has as many.
 TASK_TOKENS = 1 << 20
 # Counts travel in blocks of so many slots.
@@ -50,9 +57,13 @@ _A = np.uint64(0x9E3779B97F4A7C15)
 _B = np.uint64(0xD6E8FEB86659FD93)
 _C = np.uint64(0xBF58476D1CE4E5B9)
 
-_SEEN = np.add.outer(np.arange(256), np.arange(256)).ravel()
-_LOGIT = (np.log(np.arange(256) + PRIOR)[None, :] - np.log(np.arange(256) + PRIOR)[:, None]).astype(np.float32).ravel()
-_CONFIDENCE = np.searchsorted([1, 2, 4], _SEEN, side="right").astype(np.int64)
+# Of a pair of counts: its prediction, and the place of its confidence among gates.
+_PAIRS = np.arange(1 << 16)
+_LOGIT = (np.log((_PAIRS & 255) + PRIOR) - np.log((_PAIRS >> 8) + PRIOR)).astype(np.float32)
+_CONFIDENCE = (np.searchsorted([1, 2, 4], (_PAIRS & 255) + (_PAIRS >> 8), side="right") * LEVELS).astype(np.int8)
+# The same with one count less of a zero (first half) or of a one, where there is one.
+_LESS = np.r_[_PAIRS - 256 * (_PAIRS > 255), _PAIRS - ((_PAIRS & 255) > 0)]
+_LOGIT_LESS, _CONFIDENCE_LESS = _LOGIT[_LESS], _CONFIDENCE[_LESS]
 
 
 def squash(x: np.ndarray) -> np.ndarray:
@@ -79,10 +90,15 @@ class Refiner:
         return (squash(x) + share[low] * (1 - part) + share[low + 1] * part) / 2
 
     def learn(self, x: np.ndarray, state: np.ndarray, bit: np.ndarray) -> None:
-        low, part = self.cells(x, state)
+        if not len(x):
+            return
+        # Only the cells of the states there are.
+        first, last = int(state.min()), int(state.max()) + 1
+        low, part = self.cells(x, state - first)
+        ones, all_ = (v[first * MAP_CELLS : last * MAP_CELLS] for v in (self.ones, self.all))
         for cell, weight in ((low, 1 - part), (low + 1, part)):
-            self.ones += np.bincount(cell, weight * bit, len(self.ones))
-            self.all += np.bincount(cell, weight, len(self.all))
+            ones += np.bincount(cell, weight * bit, len(ones))
+            all_ += np.bincount(cell, weight, len(all_))
 
 
 @dataclass
@@ -112,35 +128,51 @@ class Code:
             length = (-(-total // counts[i]) - 1).bit_length()
             self.code[i], self.length[i] = (before << length) // total, length
             before += counts[i]
+        self.top = self.code << (CODE_BITS - self.length)
         self.short = np.array([0 < len(w) <= KIND_BYTES for w in names] + [False])
         self.hash = np.array([zlib.crc32(w) for w in names] + [0], np.int64)
         self.at: dict[bytes, int] | None = None
 
+    def kinds(self, ids: np.ndarray, total: np.ndarray) -> np.ndarray:
+        """Numbers of the texts' kinds, from their most frequent short token; 0 without one."""
+        out = np.zeros(len(total), np.int64)
+        some = self.short[ids]
+        row = np.repeat(np.arange(len(total)), total)[some]
+        if not len(row):
+            return out
+        found, times = np.unique(row * len(self.short) + ids[some], return_counts=True)
+        row, hashed = found // len(self.short), self.hash[found % len(self.short)]
+        first = np.flatnonzero(np.r_[True, row[1:] != row[:-1]])
+        most = np.repeat(np.maximum.reduceat(times, first), np.diff(np.r_[first, len(row)]))
+        least = np.minimum.reduceat(np.where(times == most, hashed, np.iinfo(np.int64).max), first)
+        out[row[first]] = 1 + least % (KINDS - 1)
+        return out
+
     def kind(self, ids: np.ndarray) -> int:
-        """Number of the text's kind, from its most frequent short token; 0 without one."""
-        found, times = np.unique(ids[self.short[ids]], return_counts=True)
-        if not len(found):
-            return 0
-        top = found[times == times.max()]
-        return 1 + int(self.hash[top].min()) % (KINDS - 1)
-
-    def read(self, texts: list[bytes]) -> Tokens:
-        """Words of texts, lower-cased, and an end each; bytes splits at the six ASCII blanks."""
+        """Number of one text's kind."""
+        return int(self.kinds(ids, np.array([len(ids)]))[0])
+
+    def read(self, texts: list[bytes], others: bool = True) -> Tokens:
+        """Words of texts, lower-cased, and an end each; bytes splits at the six ASCII blanks.
+
+        ``others`` asks for the words without a code, too.
+        """
         if self.at is None:
             self.at = {w: i for i, w in enumerate(self.names)}
         get, escape = self.at.get, self.escape
-        ids, kinds, others = [], [], []
+        ids, left = [], []
         for body in texts:
             words = body.lower().split()
             words.append(b"")
-            found = np.array([get(w, escape) for w in words], np.int64)
+            found = np.fromiter(map(get, words, repeat(escape)), np.int64, len(words))
             ids.append(found)
-            kinds.append(self.kind(found))
-            others.append(Counter([words[i] for i in np.flatnonzero(found == escape).tolist()]))
+            if others:
+                left.append(Counter([words[i] for i in np.flatnonzero(found == escape).tolist()]))
         total = np.array([len(x) for x in ids], np.int64)
+        every = np.concatenate(ids) if ids else np.zeros(0, np.int64)
         return Tokens(
-            np.concatenate(ids) if ids else np.zeros(0, np.int64), np.repeat(np.arange(len(ids)), total),
-            np.array(kinds, np.int64), total, np.array([len(t) for t in texts], np.int64), others,
+            every, np.repeat(np.arange(len(ids)), total), self.kinds(every, total), total,
+            np.array([len(t) for t in texts], np.int64), left,
         )
 
     def __getstate__(self):
@@ -150,7 +182,8 @@ class Code:
 def contexts(code: Code, found: Tokens) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Per token: hashed contexts, the token guessed from its text, and how sure the guess's place is.
 
-    Tokens before a text's start are none.
+    Tokens before a text's start are none. Hashes are multiplied by ``_C`` already, as
+    (hash + node * B) * C is hash * C + node * (B * C).
     """
     ids, row = found.ids, found.row
     none = code.escape + 1
@@ -165,9 +198,13 @@ def contexts(code: Code, found: Tokens) -> tuple[np.ndarray, np.ndarray, np.ndar
     hashed = plain.view(np.uint64)
     hashed = ((hashed * _B + number) ^ (hashed >> np.uint64(29))) * _A
     hashed ^= hashed >> np.uint64(32)
-    # Equal tokens before in the same text: the latest earlier place.
-    order = np.argsort(row * (none + 1) + one, kind="stable")
-    same = (row[order[1:]] == row[order[:-1]]) & (one[order[1:]] == one[order[:-1]])
+    hashed *= _C
+    # Equal tokens before in the same text: the latest earlier place. Text, token and place
+    # have fewer than 64 bits together, and numbers are sorted faster than places by key.
+    bits = np.int64(len(ids).bit_length())
+    packed = np.sort((row * (none + 1) + one) << bits | np.arange(len(ids)))
+    order, key = packed & ((1 << bits) - 1), packed >> bits
+    same = key[1:] == key[:-1]
     here, earlier = order[1:][same], order[:-1][same]
     guess, level = np.full(len(ids), code.escape), np.zeros(len(ids), np.int64)
     guess[here] = ids[earlier]
@@ -175,31 +212,45 @@ def contexts(code: Code, found: Tokens) -> tuple[np.ndarray, np.ndarray, np.ndar
     return hashed, guess, level
 
 
-def bit_steps(
-    code: Code, found: Tokens, slot_bits: int, size: int
-) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray, int]]:
-    """Slices of tokens, bit by bit: tokens that have the bit, slots, bits, level and bit of the guess, depth."""
+def leading_equal(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """How many of the ``CODE_BITS`` bits of two numbers are the same, from the upper end."""
+    differ = a ^ b
+    # No bit follows the first one, so no rounding reaches the next power of two.
+    return CODE_BITS - np.frexp((differ & ~(differ >> 1)).astype(float))[1].astype(np.int64)
+
+
+# How many tokens, from the first of a slice, have the bit; slots by predictor, bits, level
+# and bit of the guess, depth.
+Step = tuple[int, np.ndarray, np.ndarray, np.ndarray, np.ndarray, int]
+
+
+def bit_steps(code: Code, found: Tokens, slot_bits: int, size: int) -> Iterator[tuple[np.ndarray, Iterator[Step]]]:
+    """Slices of tokens: their places by falling length of the code, and their bits step by step."""
     every = contexts(code, found)
     shift = np.uint64(64 - slot_bits)
+    node_factor = np.uint64(int(_B) * int(_C) % (1 << 64))
+
+    def steps(length, top, guess_top, agree, level, hashed) -> Iterator[Step]:
+        longest = int(length[0])
+        alive = np.searchsorted(-length, -np.arange(longest), side="left").tolist()
+        for depth, k in enumerate(alive):
+            node = (top[:k] >> (CODE_BITS - depth)) | (1 << depth)
+            slots = hashed[:, :k] + node.view(np.uint64) * node_factor
+            slots >>= shift
+            bit = (top[:k] >> (CODE_BITS - 1 - depth)) & 1
+            guess = (guess_top[:k] >> (CODE_BITS - 1 - depth)) & 1
+            # A guess counts while its code agrees.
+            yield k, slots.view(np.int64), bit, level[:k] * (agree[:k] >= depth), guess, depth
+
     for a in range(0, len(found.ids), size):
         ids = found.ids[a : a + size]
-        hashed, guess, level = every[0][:, a : a + size], every[1][a : a + size], every[2][a : a + size]
-        at = np.arange(a, a + len(ids))
-        length, guess_length = code.length[ids], code.length[guess]
-        whole = code.code[ids] | (1 << length)
-        guess_whole = code.code[guess] | (1 << guess_length)
-        for depth in range(int(length.max(initial=0))):
-            alive = length > depth
-            if not alive.all():
-                at, length, whole, level = at[alive], length[alive], whole[alive], level[alive]
-                guess_length, guess_whole, hashed = guess_length[alive], guess_whole[alive], hashed[:, alive]
-            left = length - depth
-            node, bit = whole >> left, (whole >> (left - 1)) & 1
-            guess_left = np.maximum(guess_length - depth, 1)
-            # A guess counts while its code agrees.
-            level = level * ((guess_whole >> guess_left == node) & (guess_length > depth))
-            slots = ((hashed + node.view(np.uint64) * _B) * _C) >> shift
-            yield at, slots.view(np.int64), bit, level, (guess_whole >> (guess_left - 1)) & 1, depth
+        order = np.argsort(-code.length[ids].astype(np.int16), kind="stable")
+        at, ids = a + order, ids[order]
+        guess = every[1][at]
+        top, guess_top = code.top[ids], code.top[guess]
+        agree = np.minimum(leading_equal(top, guess_top), code.length[guess] - 1)
+        hashed = np.stack([h[at] for h in every[0]])
+        yield at, steps(code.length[ids], top, guess_top, agree, every[2][at], hashed)
 
 
 @dataclass
@@ -212,40 +263,84 @@ class Mixer:
     weights: np.ndarray
     refiner: Refiner
 
-    def inputs(self, pairs: np.ndarray, level: np.ndarray, guess: np.ndarray, depth: int) -> tuple[np.ndarray, np.ndarray]:
-        """Predictions in the logistic domain, and gates."""
-        gate = (_CONFIDENCE[pairs[-1]] * LEVELS + level) * DEPTHS + min(depth, DEPTHS - 1)
-        x = np.empty((CONTEXTS + 1, len(gate)), np.float32)
-        x[:-1] = _LOGIT[pairs]
-        x[-1] = (level > 0) * (2 * guess - 1) * np.float32(GUESS)
-        return x, gate
+    def __setstate__(self, state: dict) -> None:
+        # Memory of its own has larger pages than that of a pickle, and is looked up faster.
+        self.__dict__.update(state, table=state["table"].copy())
+
+    def pairs(self, slots: np.ndarray) -> np.ndarray:
+        out = np.empty(slots.shape, self.table.dtype)
+        for row, at, into in zip(self.table, slots, out):
+            np.take(row, at, out=into, mode="clip")
+        return out
+
+    def mixed(self, weights: np.ndarray, logits: np.ndarray, guessed: np.ndarray, state: np.ndarray) -> np.ndarray:
+        """Sum of predictions in the logistic domain, weighted by state, the gate at one depth."""
+        out = np.take(weights[-1], state) * guessed
+        for each, x in zip(weights, logits):
+            out += np.take(each, state) * x
+        return out
 
     def log10(self, found: Tokens) -> np.ndarray:
         """log10 probability of each text's codes."""
         out = np.zeros(len(found.total))
-        place = np.arange(CONTEXTS)[:, None]
-        weights = self.weights.astype(np.float32)
-        for at, slots, bit, level, guess, depth in bit_steps(self.code, found, self.slot_bits, SLICE):
-            x, gate = self.inputs(self.table[place, slots], level, guess, depth)
-            mixed = np.einsum("ij,ij->j", weights[:, gate], x)
-            p = self.refiner.refine(mixed, gate)
-            out += np.bincount(found.row[at], np.log10(np.where(bit == 1, p, 1 - p)), len(out))
+        weights = self.weights.astype(np.float32).reshape(CONTEXTS + 1, -1, DEPTHS)
+        share = (self.refiner.ones / self.refiner.all).reshape(-1, DEPTHS, MAP_CELLS)
+        # By depth and bit, of each state and cell: the share of the bit, and its rise to the next cell.
+        share = np.stack([1 - share, share]).transpose(2, 0, 1, 3)
+        rise = np.diff(share, append=share[..., -1:]).astype(np.float32).reshape(DEPTHS, -1)
+        share = share.astype(np.float32).reshape(DEPTHS, -1)
+        half = CONFIDENCES * LEVELS * MAP_CELLS
+        for at, steps in bit_steps(self.code, found, self.slot_bits, SLICE):
+            total, product = np.zeros(len(at)), np.ones(len(at))
+            for k, slots, bit, level, guess, depth in steps:
+                pairs, d = self.pairs(slots), min(depth, DEPTHS - 1)
+                state = np.take(_CONFIDENCE, pairs[-1]) + level
+                mixed = self.mixed(weights[:, :, d], np.take(_LOGIT, pairs), guessed(level, guess), state)
+                place = np.clip(mixed * 2 + MAP_CELLS // 2, 0, np.float32(MAP_CELLS - 1.001))
+                low = place.astype(np.int64)
+                place -= low
+                low += state * MAP_CELLS
+                low += bit * half
+                # The bit's own probability, so that small ones keep their digits.
+                own = np.exp(np.clip(mixed * (1 - 2 * bit).astype(np.float32), -20, 20))
+                p = np.float32(1) / (own + 1) + np.take(share[d], low) + place * np.take(rise[d], low)
+                product[:k] *= p * np.float32(0.5)
+                if depth % PRODUCT_BITS == PRODUCT_BITS - 1:
+                    total[:k] += np.log10(product[:k])
+                    product[:k] = 1
+            out += np.bincount(found.row[at], total + np.log10(product), len(out))
         return out
 
     def learn(self, found: Tokens, slopes: np.ndarray) -> None:
         """One online pass over texts that are in the counts; each bit is left out while predicted."""
-        place = np.arange(CONTEXTS)[:, None]
-        for _, slots, bit, level, guess, depth in bit_steps(self.code, found, self.slot_bits, LEARN_SLICE):
-            pairs = self.table[place, slots].astype(np.int64)
-            own = np.where(bit == 1, pairs & 255, pairs >> 8) > 0
-            x, gate = self.inputs(pairs - own * np.where(bit == 1, 1, 256), level, guess, depth)
-            mixed = np.einsum("ij,ij->j", self.weights[:, gate], x)
-            missed = bit - squash(mixed)
-            many = np.maximum(np.bincount(gate, minlength=GATES), 1)
-            slope = np.stack([np.bincount(gate, missed * row, GATES) for row in x]) / many
-            slopes += slope * slope
-            self.weights += STEP * slope / np.sqrt(slopes)
-            self.refiner.learn(mixed, gate, bit)
+        states = CONFIDENCES * LEVELS
+        shape = (CONTEXTS + 1, states, DEPTHS)
+        every, every_slope = self.weights.reshape(shape), slopes.reshape(shape)
+        ones = self.refiner.ones.reshape(states, DEPTHS, MAP_CELLS)
+        all_ = self.refiner.all.reshape(states, DEPTHS, MAP_CELLS)
+        for _, steps in bit_steps(self.code, found, self.slot_bits, LEARN_SLICE):
+            for _, slots, bit, level, guess, depth in steps:
+                pairs, d = self.pairs(slots) + (bit << 16), min(depth, DEPTHS - 1)
+                x, last = np.take(_LOGIT_LESS, pairs), guessed(level, guess)
+                state = np.take(_CONFIDENCE_LESS, pairs[-1]) + level
+                weights = every[:, :, d]
+                mixed = self.mixed(weights.astype(np.float32), x, last, state)
+                missed = bit - squash(mixed)
+                many = np.maximum(np.bincount(state, minlength=states), 1)
+                slope = np.stack([np.bincount(state, missed * row, states) for row in (*x, last)]) / many
+                every_slope[:, :, d] += slope * slope
+                weights += STEP * slope / np.sqrt(every_slope[:, :, d])
+                low, part = self.refiner.cells(mixed, state + bit * states)
+                seen = np.bincount(low, 1 - part, 2 * states * MAP_CELLS)
+                seen += np.bincount(low + 1, part, 2 * states * MAP_CELLS)
+                seen = seen.reshape(2, states, MAP_CELLS)
+                ones[:, d] += seen[1]
+                all_[:, d] += seen[0] + seen[1]
+
+
+def guessed(level: np.ndarray, guess: np.ndarray) -> np.ndarray:
+    """Prediction of the token that followed earlier."""
+    return ((level > 0) * (2 * guess - 1)).astype(np.float32) * np.float32(GUESS)
 
 
 def start_weights() -> np.ndarray:
@@ -266,49 +361,42 @@ def pairs_of(zeros: np.ndarray, ones: np.ndarray) -> np.ndarray:
 def count_contexts(docs: DataFrame, code: Callable[[], Code], tokens: int, slot_bits: int) -> np.ndarray:
     """Table of counts over every token of all texts.
 
-    A task's counts leave it as blocks of slots, which are summed one by one where they meet;
+    A task's counts leave it as packed blocks of slots, which are summed one by one where they meet;
     what comes to the driver is the table, of a fixed size.
     """
     slots_all = CONTEXTS << slot_bits
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen = np.zeros(2 * slots_all, np.int64)
-        base = (np.arange(CONTEXTS) << slot_bits)[:, None]
+        # Zeros and ones of a slot side by side.
+        seen = np.zeros(2 * slots_all, np.int32)
+        base = (np.arange(CONTEXTS) << (slot_bits + 1))[:, None]
         for whole in batches:
-            for batch in common.chunks(whole, "text"):
-                for _, slots, bit, _, _, _ in bit_steps(code(), code().read(common.byte_texts(batch)), slot_bits, SLICE):
-                    np.add.at(seen, (slots + (base + bit * slots_all)).ravel(), 1)
-        zeros, ones = seen[:slots_all], seen[slots_all:]
-        some = np.flatnonzero(zeros + ones)
-        blocks, first = np.unique(some // BLOCK, return_index=True)
-        edges = np.append(first, len(some)).astype(np.int32)
-
-        def column(values: np.ndarray) -> pa.Array:
-            ends = pa.py_buffer(edges * np.int32(values.itemsize))
-            return pa.Array.from_buffers(pa.binary(), len(blocks), [None, ends, pa.py_buffer(values)])
-
-        if len(blocks):
-            out = pa.RecordBatch.from_arrays(
-                [pa.array(blocks.astype(np.int32)), column((some % BLOCK).astype(np.uint16)),
-                 column(zeros[some].astype(np.uint32)), column(ones[some].astype(np.uint32))],
-                ["block", "slots", "zeros", "ones"],
-            )
-            for a in range(0, len(blocks), 256):
-                yield out.slice(a, 256)
+            for batch in common.chunks(whole, "text", PIECE_BYTES):
+                found = code().read(common.byte_texts(batch), others=False)
+                for _, steps in bit_steps(code(), found, slot_bits, SLICE):
+                    for _, slots, bit, _, _, _ in steps:
+                        for at in (slots << 1) + (base + bit):
+                            np.add.at(seen, at, np.int32(1))
+        # Most counts are small: byte by byte, with the upper ones apart, a block packs well.
+        blocks = seen.reshape(-1, 2 * BLOCK)
+        some = np.flatnonzero(blocks.any(axis=1))
+        for a in range(0, len(some), 256):
+            planes = (blocks[i].view(np.uint8).reshape(-1, 4).T.tobytes() for i in some[a : a + 256])
+            packed = pa.array([pa.compress(p, "zstd", asbytes=True) for p in planes], pa.binary())
+            yield pa.RecordBatch.from_arrays([pa.array(some[a : a + 256].astype(np.int32)), packed], ["block", "counts"])
 
     def total(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sums: dict[int, np.ndarray] = {}
         for batch in batches:
-            for block, slots, zeros, ones in zip(*(c.to_pylist() for c in batch.columns)):
+            for block, counts in zip(*(c.to_pylist() for c in batch.columns)):
+                planes = np.frombuffer(pa.decompress(counts, 8 * BLOCK, "zstd"), np.uint8).reshape(4, -1)
                 held = sums.setdefault(block, np.zeros((2, BLOCK), np.int64))
-                at = np.frombuffer(slots, np.uint16)
-                held[0, at] += np.frombuffer(zeros, np.uint32)
-                held[1, at] += np.frombuffer(ones, np.uint32)
+                held += np.ascontiguousarray(planes.T).view(np.int32).reshape(-1, 2).T
         pairs = [pairs_of(x[0], x[1]).tobytes() for x in sums.values()]
         yield pa.RecordBatch.from_arrays([pa.array(list(sums), pa.int32()), pa.array(pairs, pa.binary())], ["block", "pairs"])
 
     tasks = max(1, -(-tokens // TASK_TOKENS))
-    found = docs.select("text").coalesce(tasks).mapInArrow(run, "block int, slots binary, zeros binary, ones binary")
+    found = docs.select("text").coalesce(tasks).mapInArrow(run, "block int, counts binary")
     sums = found.repartition("block").mapInArrow(total, "block int, pairs binary").toArrow()
     table = np.zeros(slots_all, np.uint16)
     for block, pairs in zip(sums.column(0).to_pylist(), sums.column(1).to_pylist()):
@@ -329,8 +417,8 @@ def train(docs: DataFrame, code: Code, tokens: int, learnt_from: DataFrame) -> M
         mixer = Mixer(given.code, slot_bits, given.table, start_weights(), Refiner(GATES))
         slopes, n = np.full((CONTEXTS + 1, GATES), 1e-4), 0
         for whole in batches:
-            for batch in common.chunks(whole, "text"):
-                found = given.code.read(common.byte_texts(batch))
+            for batch in common.chunks(whole, "text", PIECE_BYTES):
+                found = given.code.read(common.byte_texts(batch), others=False)
                 mixer.learn(found, slopes)
                 n += len(found.ids)
         start = Refiner(GATES)

@@ -151,3 +151,27 @@ def test_order_of_words_counts(spark):
     mixer = trained(spark, ["red green blue black white"] * 50 + ["white black blue green red"])
     seen, turned = mixer.log10(mixer.code.read([b"red green blue black white", b"white blue red black green"]))
     assert seen > turned + 2
+
+
+def test_weights_are_learnt_on_all_training_texts_and_words(spark, monkeypatch):
+    """Every bit of every training token leaves one unit in the map; the speller's of every distinct word."""
+    docs = spark.createDataFrame([*enumerate(TEXTS * 40), (1000, "the cat held out")], "doc_id long, text string")
+    made = {}
+    for module, name in ((mixing, "train"), (lm_scoring, "train_speller")):
+        real = getattr(module, name)
+        monkeypatch.setattr(module, name, lambda *a, real=real, name=name: made.setdefault(name, real(*a)))
+    lm_scoring.score(docs, F.col("doc_id") < 1000).collect()
+    mixer, speller = made["train"], made["train_speller"]
+    bits = sum(1 for text in TEXTS * 40 for _ in plain_bits(mixer.code, text, mixer.slot_bits))
+    assert mixer.refiner.all.sum() - mixing.Refiner(mixing.GATES).all.sum() == pytest.approx(bits, abs=1e-3)
+    words = {w for t in TEXTS for w in [*t.encode().lower().split(), b""]}
+    spelled = 8 * sum(len(w) + 1 for w in words)
+    assert speller.refiner.all.sum() - mixing.Refiner(256).all.sum() == pytest.approx(spelled, abs=1e-3)
+
+
+def test_guesses_agree_up_to_the_first_other_bit():
+    draw = random.Random(5)
+    pairs = [(draw.getrandbits(62), draw.getrandbits(draw.randint(1, 62))) for _ in range(500)]
+    pairs += [(0, 0), (0, (1 << 61) - 1), (5, 5), (0, (1 << 55) - 1)]
+    got = mixing.leading_equal(np.array([a for a, _ in pairs]), np.array([b for _, b in pairs]))
+    assert got.tolist() == [62 - (a ^ b).bit_length() for a, b in pairs]
