@@ -291,3 +291,20 @@ def test_raw_bookings_write_each_date_and_country_once(spark, tmp_path):
     assert (row["country"], row["country_customer"], row["updated_timestamp"]) == ("FRANCE", "ATLANTIS", "#2001-02-03 09:30:00")
     plan = _optimized(df)
     assert plan.count("(l_shipdate") == 1 and plan.count("FRANCE") + plan.count("france") == 2
+
+
+def test_wide_projections_stay_out_of_whole_stage_code(spark):
+    """One method of all columns is too large for the JVM to compile; and joins copy the other columns at once."""
+    columns = [c for c in B.BOOKING_COLUMNS if c != "k"]
+    raw = spark.createDataFrame([("",) * len(columns)], ", ".join(f"{c} string" for c in columns))
+    known = silver.Lookups(
+        spark.createDataFrame([("Z", "W")], "city string, country string"),
+        spark.createDataFrame([("W", "Z")], "country string, capital string"),
+    )
+    cleaned = silver.clean_bookings(raw.withColumn("hotel_id", F.lit("?h1")), known)
+    assert cleaned.columns == columns and cleaned.first()["hotel_id"] == "H1"
+    plan = cleaned._jdf.queryExecution().executedPlan().toString()
+    wide = [line for line in plan.splitlines() if "Project [" in line and line.count(", ") > 60]
+    assert wide and not [line for line in wide if "*(" in line.split("Project")[0]]
+    joins = [line for line in plan.splitlines() if "Join" in line]
+    assert joins and "_packed" in plan
